@@ -30,7 +30,7 @@ def iso_text(ts: Column) -> Column:
     """ISO 8601 text of a timestamp; microseconds only where there are any."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat_ws(".", whole, micros))
+    return F.when(micros == "000000", whole).otherwise(F.concat(whole, lit("."), micros))
 
 
 def load_status(last_load: Column, now: Column, limit_hours: int = 25) -> tuple[Column, Column]:

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pluvio.operators.filters import as_date, last_n_days
+
 
 def row_counts(**tables: DataFrame) -> DataFrame:
     counts = [df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("total")) for name, df in tables.items()]
@@ -52,25 +54,22 @@ def mismatched(raw: DataFrame, expected) -> DataFrame:
 
 def incomplete_since(raw: DataFrame, start, as_of) -> DataFrame:
     """Expected count: every day from ``start`` to the day before ``as_of``."""
-    def date(d) -> Column:
-        return (d if isinstance(d, Column) else F.lit(d)).cast("date")
-
-    days = F.date_diff(F.date_sub(date(as_of), 1), date(start)) + 1
+    days = F.date_diff(F.date_sub(as_date(as_of), 1), as_date(start)) + 1
     return incomplete(raw, days, "dias_coletados", "dias_faltando", "dias_esperados")
 
 
 def count_complete(raw: DataFrame, expected) -> DataFrame:
-    """Locations with at least the expected count."""
-    complete = _counted(raw).filter(F.col("total") >= _expected(expected)).select("location_id")
-    # One row per location on both sides, already partitioned by it: the semi join moves nothing again.
-    present = raw.select("location_id").distinct().join(complete, "location_id", "left_semi")
-    return present.agg(F.count("location_id").alias("municipios_completos"))
+    """Locations with at least the expected count.
+
+    The locations to look for come from the same table, so the semi join with itself is
+    just the number of full groups: one scan.
+    """
+    complete = _counted(raw).filter(F.col("total") >= _expected(expected)).dropna(subset=["location_id"])
+    return complete.agg(F.count("location_id").alias("municipios_completos"))
 
 
 def date_gaps(daily: DataFrame, n: int = 30, as_of=None) -> DataFrame:
     """Runs of missing days inside the last ``n`` days; at most n + 1 rows per location reach the window."""
-    from pluvio.operators.filters import last_n_days
-
     series = Window.partitionBy("location_id").orderBy("date")
     steps = last_n_days(daily, n, as_of).select(
         "location_id", F.lag("date").over(series).alias("gap_start"), F.col("date").alias("gap_end")

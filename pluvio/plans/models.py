@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pluvio import schemas
 from pluvio.config import ROLLING_ROWS, Thresholds
 from pluvio.functions import calendar as cal, climate, values
+from pluvio.operators.filters import as_date
 from pluvio.operators.joins import small_side, with_geography
 from pluvio.operators.rolling import rolling_avg
 
@@ -82,11 +83,7 @@ def hourly_facts(stg: DataFrame, loc: DataFrame) -> DataFrame:
 
 def date_spine(spark: SparkSession, start, end) -> DataFrame:
     """Every date of ``[start, end]``; the bounds are dates, date texts or scalar columns."""
-
-    def bound(d) -> Column:
-        return (d if isinstance(d, Column) else F.lit(d)).cast("date")
-
-    return spark.range(1).select(F.explode(F.sequence(bound(start), bound(end))).alias("date"))
+    return spark.range(1).select(F.explode(F.sequence(as_date(start), as_date(end))).alias("date"))
 
 
 def dim_dates(spark: SparkSession, start="2024-01-01", end="2030-12-31") -> DataFrame:

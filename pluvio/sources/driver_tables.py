@@ -20,6 +20,11 @@ def _quarter_degrees(start: float, steps: Column) -> Column:
     return lit(start) - steps / 4
 
 
+def _plus_minutes(ts: Column, minutes: Column) -> Column:
+    """Wall-clock arithmetic on plain microseconds; the session zone is UTC."""
+    return F.timestamp_micros(F.unix_micros(ts) + minutes * 60_000_000)
+
+
 def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
@@ -72,10 +77,10 @@ def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(~no_rain, rain / 2).alias("precipitation_sum"),
             F.when(~no_rain, rain / 4).alias("rain_sum"),
             (order % 100).alias("wind_speed_10m_max"),
-            F.timestamp_add("MINUTE", lit(360) - line * 10, day).alias("sunrise"),
-            F.timestamp_add("MINUTE", lit(1080) + line * 10, day).alias("sunset"),
+            _plus_minutes(day, lit(360) - line.cast("long") * 10).alias("sunrise"),
+            _plus_minutes(day, lit(1080) + line.cast("long") * 10).alias("sunset"),
             F.when(part % 13 != 0, F.floor(F.col("l_tax") * 100 + 0.5) + line / 2).alias("uv_index_max"),
-            F.timestamp_add("MINUTE", (order % 1440).cast("int"), day).alias("_extracted_at"),
+            _plus_minutes(day, order % 1440).alias("_extracted_at"),
         ),
         schemas.RAW_DAILY,
     )

@@ -20,7 +20,7 @@ def _payload_schema(block: str, head: list[str], variables: T.StructType) -> T.S
 
 def _time(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DateType):
-        return F.try_to_date(text) if hasattr(F, "try_to_date") else text.try_cast("date")
+        return text.try_cast("date")
     return F.try_to_timestamp(norm_ts(text))
 
 

@@ -1,0 +1,247 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from pluvio import schemas
+from pluvio.operators import filters as fl, joins, reports as rp
+from pluvio.operators.audit import date_gaps
+from pluvio.operators.rolling import rolling_avg
+from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourly
+from pluvio.plans import models
+
+DAY = dt.date(2024, 1, 1)
+NOON = dt.datetime(2024, 1, 1, 12)
+
+
+def raw_rows(spark, *readings):
+    """Raw daily rows from partial dicts."""
+    names = schemas.RAW_DAILY.fieldNames()
+    base = dict.fromkeys(names) | {"id": 1, "location_id": "a", "date": DAY, "_extracted_at": NOON}
+    return spark.createDataFrame([tuple((base | r)[n] for n in names) for r in readings], schemas.RAW_DAILY)
+
+
+def location_rows(spark, *ids):
+    rows = [(i, f"City {i}", "State", "XX", "C", "R", "Meso", -27.0, -50.0, 10.0, "small") for i in ids]
+    return spark.createDataFrame(rows, schemas.LOCATIONS)
+
+
+def days(n, start=DAY):
+    return [start + dt.timedelta(days=k) for k in range(n)]
+
+
+def test_dedup_takes_newest_then_highest_id_and_nulls_last(spark):
+    raw = raw_rows(
+        spark,
+        {"id": 1, "_extracted_at": NOON},
+        {"id": 3, "_extracted_at": NOON},
+        {"id": 2, "_extracted_at": NOON},
+        {"id": 9, "_extracted_at": None},
+    )
+    assert [r.id for r in dedup_latest(raw, ["location_id", "date"]).collect()] == [3]
+
+
+def test_dedup_is_idempotent(spark, rows):
+    raw = raw_rows(spark, *[{"id": k, "date": d} for k, d in enumerate(days(5) * 3)])
+    once = dedup_latest(raw, ["location_id", "date"])
+    assert rows(once) == rows(dedup_latest(once, ["location_id", "date"]))
+
+
+def test_dedup_limits_before_the_exchange(spark, plan):
+    text = plan(dedup_latest(raw_rows(spark, {}), ["location_id", "date"]))
+    lines = text.splitlines()
+    partial = next(k for k, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+    exchange = next(k for k, line in enumerate(lines) if "Exchange" in line)
+    assert exchange < partial  # the plan prints children below their parents
+
+
+def test_required_keys(spark):
+    raw = raw_rows(spark, {}, {"location_id": None}, {"date": None})
+    assert require(raw, "location_id", "date").count() == 1
+    assert stg_daily(raw).count() == 1
+
+
+def test_staging_hourly_names(spark):
+    names = stg_hourly(spark.createDataFrame([], schemas.RAW_HOURLY)).columns
+    assert names == [
+        "location_id", "observed_at", "latitude", "longitude", "elevation_m", "timezone", "temperature_c",
+        "relative_humidity_pct", "precipitation_mm", "wind_speed_kmh", "wind_direction_deg", "surface_pressure_hpa",
+        "cloud_cover_pct", "visibility_m", "wmo_weather_code", "_extracted_at", "_loaded_at",
+    ]
+
+
+def test_rolling_counts_rows_not_days_and_skips_nulls(spark):
+    dates = [DAY + dt.timedelta(days=10 * k) for k in range(4)]
+    df = spark.createDataFrame(list(zip(["a"] * 4, dates, [1.0, 3.0, None, 8.0])), "location_id string, date date, v double")
+    got = rolling_avg(df, {"m": "v"}, rows=3).orderBy("date").collect()
+    assert [r.m for r in got] == [1.0, 2.0, 2.0, 5.5]
+
+
+def test_rolling_mean_stays_between_extremes(spark):
+    values = [float((k * 37) % 23) for k in range(100)]
+    df = spark.createDataFrame([("a", d, v) for d, v in zip(days(100), values)], "location_id string, date date, v double")
+    got = [r.m for r in rolling_avg(df, {"m": "v"}).orderBy("date").collect()]
+    for k, mean in enumerate(got):
+        window = values[max(0, k - 29): k + 1]
+        assert min(window) <= mean <= max(window)
+        assert mean == pytest.approx(sum(window) / len(window))
+
+
+def test_one_window_node_for_both_means(spark, plan):
+    stg = stg_daily(raw_rows(spark, {}))
+    text = plan(models.int_daily(stg, location_rows(spark, "a")))
+    assert text.count("specifiedwindowframe(RowFrame, -29") == 2
+    assert sum("Window [avg" in line for line in text.splitlines()) == 1
+
+
+def test_geography_comes_from_the_seed_or_is_null(spark):
+    raw = raw_rows(spark, {"location_id": "a", "latitude": 1.0}, {"location_id": "b", "latitude": 2.0})
+    facts = models.daily_facts(models.int_daily(stg_daily(raw), location_rows(spark, "a")))
+    got = {r.location_id: (r.city_name, r.latitude) for r in facts.collect()}
+    assert got == {"a": ("City a", -27.0), "b": (None, None)}
+
+
+def test_fact_columns(spark):
+    raw = raw_rows(spark, {"temperature_2m_max": 30.0, "temperature_2m_min": 20.0,
+                           "sunrise": dt.datetime(2024, 1, 1, 5, 30), "sunset": dt.datetime(2024, 1, 1, 18, 0)})
+    facts = models.daily_facts(models.int_daily(stg_daily(raw), location_rows(spark, "a")))
+    assert facts.schema.simpleString() == schemas.DAILY_FACTS.simpleString()
+    r = facts.first()
+    assert (r.temp_avg_c, r.temp_amplitude_c, r.temp_anomaly_c, r.daylight_hours) == (25.0, 10.0, 0.0, 12.5)
+    assert (r.precipitation_class, r.uv_risk_level, r.day_of_week, r.year_month) == ("extreme", "extreme", 1, "2024-01")
+    assert len(facts.columns) == 38 and len(schemas.HOURLY_FACTS) == 27
+
+
+def facts(spark, *readings):
+    """Daily facts from (location, date, dict) triples."""
+    names = schemas.DAILY_FACTS.fieldNames()
+    out = []
+    for location, date, extra in readings:
+        base = dict.fromkeys(names) | {"location_id": location, "city_name": f"City {location}", "mesoregion": "M",
+                                       "date": date, "year_month": date.strftime("%Y-%m")}
+        out.append(tuple((base | extra)[n] for n in names))
+    return spark.createDataFrame(out, schemas.DAILY_FACTS)
+
+
+def test_last_n_days_spans_n_plus_one_dates(spark):
+    df = facts(spark, *[("a", d, {}) for d in days(40)])
+    assert fl.last_n_days(df, 7).count() == 8
+    assert fl.last_n_days(df, 7, "2024-01-20").count() == 40 - 12  # 12 dates lie before January 13; later dates stay
+
+
+def test_city_filter_takes_any_name(spark):
+    df = facts(spark, ("a", DAY, {"city_name": "Herval d'Oeste"}), ("b", DAY, {}))
+    assert fl.city_series(df, "Herval d'Oeste", 5).count() == 1
+
+
+def test_compare_cities_guards_its_arguments(spark):
+    df = facts(spark, ("a", DAY, {"temp_max_c": 1.25}))
+    assert fl.compare_cities(df, ["City a"], "temp_max_c", 5).first().valor == 1.3
+    with pytest.raises(ValueError):
+        fl.compare_cities(df, ["City a"], "location_id", 5)
+    with pytest.raises(ValueError):
+        fl.compare_cities(df, list("abcd"), "temp_max_c", 5)
+
+
+def test_date_gaps_filter_before_lag(spark, rows):
+    seen = [DAY, DAY + dt.timedelta(days=50), DAY + dt.timedelta(days=51), DAY + dt.timedelta(days=55)]
+    df = facts(spark, *[("a", d, {}) for d in seen])
+    assert rows(date_gaps(df)) == [("a", seen[2], seen[3], 4)]
+
+
+def test_top_k_order_and_ties(spark):
+    df = facts(spark, *[(k, DAY, {"temp_max_c": t, "temp_min_c": t}) for k, t in [("a", 5.0), ("b", 9.0), ("c", 5.0)]])
+    assert [r.city_name for r in rp.hottest(df, k=2).collect()] == ["City b", "City a"]
+    assert [r.city_name for r in rp.coldest(df, k=2).collect()] == ["City a", "City c"]
+
+
+def test_top_k_needs_no_full_sort(spark, plan):
+    assert "TakeOrderedAndProject" in plan(rp.hottest(facts(spark, ("a", DAY, {})), as_of="2024-01-01"))
+
+
+def test_matrix_has_fixed_columns(spark):
+    df = facts(spark, ("a", DAY, {"precipitation_mm": 2.0}), ("a", DAY + dt.timedelta(days=2), {"precipitation_mm": 3.0}),
+               ("b", DAY, {"mesoregion": None, "precipitation_mm": 9.0}))
+    got = rp.rain_matrix(df, n=3)
+    assert got.columns == ["mesoregion", "d_000", "d_001", "d_002", "d_003"]
+    assert [tuple(r) for r in got.collect()] == [("M", 0.0, 2.0, 0.0, 3.0)]
+
+
+def test_latest_per_location_marker(spark):
+    df = facts(spark, ("a", DAY, {"precipitation_mm": 9.0}), ("a", DAY + dt.timedelta(days=1), {}),
+               ("b", DAY, {"precipitation_mm": 7.0}), ("c", DAY, {"mesoregion": None}))
+    got = {r.location_id: r.marker_size for r in rp.latest_per_location(df).collect()}
+    assert got == {"a": 1.0, "b": 7.0}
+
+
+def test_map_extent_zoom(spark):
+    points = [(-27.0, -50.0), (-27.5, -49.8)]
+    df = spark.createDataFrame(points, "latitude double, longitude double")
+    r = rp.map_extent(df).first()
+    assert (r.center_lat, r.spread, r.zoom) == (-27.25, 0.5, 8.0)
+    assert rp.map_extent(df, focused=False).first().zoom == 5.5
+
+
+def alerts(spark, *entries):
+    names = schemas.ALERTS.fieldNames()
+    rows = []
+    for k, (date, severity) in enumerate(entries):
+        base = dict.fromkeys(names) | {"location_id": f"l{k}", "date": date, "severity": severity,
+                                       "year_month": date.strftime("%Y-%m"), "alert_type": "frost"}
+        rows.append(tuple(base[n] for n in names))
+    return spark.createDataFrame(rows, schemas.ALERTS)
+
+
+def test_severity_sorts_as_text(spark):
+    entries = [(DAY, s) for s in ("critical", "high", "low", "medium")] + [(DAY - dt.timedelta(days=1), "medium")]
+    df = alerts(spark, *entries)
+    assert [r.severity for r in models.order_alerts(df).collect()] == ["medium", "low", "high", "critical", "medium"]
+    recent = rp.recent_alerts(df).collect()
+    assert [r.severity for r in recent] == ["critical", "high", "low", "medium", "medium"]
+    assert recent[0].sev_label == "🔴 critical"
+
+
+def test_orphan_alerts(spark, rows):
+    df = alerts(spark, (DAY, "low"), (DAY, "high"))
+    assert rows(joins.orphan_alerts(df, location_rows(spark, "l0")), "location_id") == [("l1",)]
+
+
+def test_broadcast_only_below_the_measured_limit(spark, plan):
+    loc = location_rows(spark, *"abcdef")
+    size = joins.measured_bytes(loc)
+    assert size > 0
+    stg = stg_hourly(spark.createDataFrame([], schemas.RAW_HOURLY))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(stg.join(joins.small_side(loc, size), "location_id", "left"))
+        assert "SortMergeJoin" in plan(stg.join(joins.small_side(loc, size - 1), "location_id", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_profiles_leave_the_day_out_of_history(spark):
+    names = schemas.HOURLY_FACTS.fieldNames()
+
+    def hour(day, h, t):
+        base = dict.fromkeys(names) | {"city_name": "C", "date": DAY + dt.timedelta(days=day), "hour": h, "temperature_c": t}
+        return tuple(base[n] for n in names)
+
+    df = spark.createDataFrame([hour(0, 1, 5.0), hour(30, 1, 10.0), hour(31, 1, 20.0), hour(31, 2, 7.0)], schemas.HOURLY_FACTS)
+    diff = joins.profile_diff(rp.day_profile(df, "C"), rp.history_profile(df, "C")).orderBy("hour").collect()
+    # The history of day 31 starts on day 1, so day 0 is out.
+    assert [(r.hour, r.temp, r.avg_temp, r.diff_temp) for r in diff] == [(1, 20.0, 10.0, 10.0), (2, 7.0, None, None)]
+
+
+def test_calendar(spark):
+    cal = {str(r.dt_data): r for r in models.dim_dates(spark, "2023-12-30", "2024-03-01").collect()}
+    assert len(cal) == 63
+    leap = cal["2024-02-29"]
+    assert (leap.dt_data_ano_anterior, leap.dt_data_amanha) == (dt.date(2023, 2, 28), dt.date(2024, 3, 1))
+    assert (leap.ultimo_dia_mes, leap.ultimo_dia_trimestre, leap.ultimo_dia_ano) == (
+        dt.date(2024, 2, 29), dt.date(2024, 3, 31), dt.date(2024, 12, 31))
+    assert (cal["2023-12-31"].semana_ano, cal["2024-01-06"].semana_ano, cal["2024-01-07"].semana_ano) == (53, 0, 1)
+    assert cal["2024-01-01"].semana_iso == 1 and len(models.dim_dates(spark).columns) == 27
+
+
+def test_calendar_default_span(spark):
+    assert models.dim_dates(spark).count() == 2557
