@@ -29,6 +29,9 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+SILENT_LOCATION = """('loc_none', "Herval d'Oeste", 'NATION_0', 'XX', 'TPC', 'H', 'AFRICA', -27.0, -51.0, 0.0, 'small')"""
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with a non-negative balance, plus one location that never reports."""
     key = F.col("s_suppkey")
@@ -52,9 +55,9 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
             size.alias("population_class"),
         )
     )
-    silent = ("loc_none", "Herval d'Oeste", "NATION_0", "XX", "TPC", "H", "AFRICA", -27.0, -51.0, 0.0, "small")
-    extra = spark.range(1).select([lit(value).alias(f.name) for value, f in zip(silent, schemas.LOCATIONS)])
-    return _typed(seed, schemas.LOCATIONS).unionByName(extra)
+    # An inline table, not a projection of literals: joins keep its key as a column to hash on.
+    silent = spark.sql(f"VALUES {SILENT_LOCATION}").toDF(*schemas.LOCATIONS.fieldNames())
+    return _typed(seed, schemas.LOCATIONS).unionByName(_typed(silent, schemas.LOCATIONS))
 
 
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
