@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pluvio.config import GROUP_LIMIT_ROWS
 from pluvio.functions.climate import temp_mean
 
 
@@ -23,6 +24,21 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_e
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the key that has most: a narrow scan, counted before its shuffle; one number comes back."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def colocated(raw: DataFrame, key: str = "location_id", limit: int = GROUP_LIMIT_ROWS) -> DataFrame:
+    """Readings partitioned by location, so dedup and the rolling window share one exchange.
+
+    Only where no location has more than ``limit`` raw rows. Beyond it the readings come back
+    as they are: dedup then partitions by (location, date) and limits groups before its
+    exchange, and the window's own exchange moves at most one row per location and day.
+    """
+    return raw.repartition(key) if largest_group(raw, key) <= limit else raw
+
+
 def stg_daily(raw: DataFrame) -> DataFrame:
     """Daily readings: required keys, newest extraction, model names."""
     latest = dedup_latest(require(raw, "location_id", "date"), ["location_id", "date"])

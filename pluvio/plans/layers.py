@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pluvio import schemas
 from pluvio.config import Thresholds
-from pluvio.operators.staging import stg_daily, stg_hourly
+from pluvio.operators.staging import colocated, stg_daily, stg_hourly
 from pluvio.plans.models import climate_alerts, daily_facts, dim_dates, hourly_facts, int_daily
 from pluvio.sources.scans import read_mart
 from pluvio.sources.sinks import write_daily_facts, write_hourly_facts
@@ -32,7 +32,7 @@ def open_marts(spark: SparkSession, root: str) -> Marts:
 def build_marts(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
                 thresholds: Thresholds = Thresholds()) -> Marts:
     """Full rebuild of the marts under ``root``. The alerts read the stored facts, not the whole chain again."""
-    write_daily_facts(daily_facts(int_daily(stg_daily(raw_daily), loc)), f"{root}/daily_facts")
+    write_daily_facts(daily_facts(int_daily(stg_daily(colocated(raw_daily)), loc)), f"{root}/daily_facts")
     stored = read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS)
     write_daily_facts(climate_alerts(stored, thresholds), f"{root}/alerts")
     write_hourly_facts(hourly_facts(stg_hourly(raw_hourly), loc), f"{root}/hourly_facts")

@@ -11,10 +11,10 @@ from pluvio import schemas
 from pluvio.functions import calendar as cal, climate, values
 from pluvio.operators import audit, filters as fl, joins, quality as dq, reports as rp
 from pluvio.operators.rolling import rolling_avg
-from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourly
+from pluvio.operators.staging import colocated, dedup_latest, require, stg_daily, stg_hourly
 from pluvio.plans import models
 from pluvio.plans.layers import Marts, build_marts, open_marts, register_layers
-from pluvio.session import configure, work_dir
+from pluvio.session import configure, stored_bytes, work_dir
 from pluvio.sources import driver_tables, payloads, scans, sinks
 from pluvio.streaming.ingest import stream_ingest
 
@@ -35,7 +35,7 @@ class Inputs:
     """The tables a query starts from, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = configure(spark)
+        self.spark = configure(spark, stored_bytes(spark, sf_dir))
         self.sf_dir = sf_dir
 
     def _once(self, name: str, write: Callable[[str], object]) -> str:
@@ -68,7 +68,7 @@ class Inputs:
 
     @cached_property
     def int_daily(self) -> DataFrame:
-        return models.int_daily(self.stg_daily, self.locations)
+        return models.int_daily(stg_daily(colocated(self.raw_daily)), self.locations)
 
     @cached_property
     def daily_facts(self) -> DataFrame:
@@ -276,7 +276,8 @@ def _store_failures(i: Inputs) -> DataFrame:
 
 
 def _rolling(i: Inputs, name: str, column: str) -> DataFrame:
-    return rolling_avg(i.stg_daily, {name: column}).select("location_id", "date", column, name)
+    staged = stg_daily(colocated(i.raw_daily))
+    return rolling_avg(staged, {name: column}).select("location_id", "date", column, name)
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {

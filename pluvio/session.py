@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from pluvio.config import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITION_BYTES
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the models rely on; readings are wall-clock, so the zone is UTC."""
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system's metadata."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Set the runtime options the models rely on; readings are wall-clock, so the zone is UTC.
+
+    With ``input_bytes`` shuffles start with enough partitions for that input, where the session's
+    own number is lower; the adaptive planner merges small ones again.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Microsecond timestamps carry min/max statistics, so filters on load time skip row groups.
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if wanted > planned:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

@@ -245,3 +245,39 @@ def test_calendar(spark):
 
 def test_calendar_default_span(spark):
     assert models.dim_dates(spark).count() == 2557
+
+
+def test_colocated_readings_share_one_exchange(spark, rows, plan):
+    from pluvio.operators.staging import colocated
+
+    raw = raw_rows(spark, *[{"id": k, "location_id": "ab"[k % 2], "date": d, "temperature_2m_max": float(k),
+                             "temperature_2m_min": 0.0} for k, d in enumerate(days(40) * 2)])
+    loc = location_rows(spark, "a", "b")
+
+    def chain(readings):
+        return models.int_daily(stg_daily(readings), loc).drop("_loaded_at")
+
+    together, apart = chain(colocated(raw, limit=40)), chain(colocated(raw, limit=39))
+    assert rows(together) == rows(apart)
+
+    def exchanges(df):
+        readings = plan(df).split("LogicalRDD")[0]
+        return sum("Exchange hashpartitioning(location_id" in line and "city_name" not in line
+                   for line in readings.splitlines())
+
+    assert exchanges(together) < exchanges(apart)
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    from pluvio.session import configure
+
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configure(spark, 1000)
+    assert spark.conf.get(setting, None) is None
+    try:
+        configure(spark, 100 * 64 * 1024 * 1024)
+        assert spark.conf.get(setting) == "100"
+        configure(spark, 100 * 10**12)
+        assert spark.conf.get(setting) == "50000"
+    finally:
+        spark.conf.unset(setting)
