@@ -29,7 +29,10 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-SILENT_LOCATION = """('loc_none', "Herval d'Oeste", 'NATION_0', 'XX', 'TPC', 'H', 'AFRICA', -27.0, -51.0, 0.0, 'small')"""
+# A location that never reports, with an apostrophe in its name.
+SILENT_LOCATION = """(
+    'loc_none', "Herval d'Oeste", 'NATION_0', 'XX', 'TPC', 'H', 'AFRICA', -27.0, -51.0, 0.0, 'small'
+)"""
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:

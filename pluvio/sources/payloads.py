@@ -24,7 +24,8 @@ def _time(text: Column, kind: T.DataType) -> Column:
     return F.try_to_timestamp(norm_ts(text))
 
 
-def _flatten(payloads: DataFrame, block: str, head: list[str], key: T.StructField, variables: T.StructType) -> DataFrame:
+def _flatten(payloads: DataFrame, block: str, head: list[str], key: T.StructField,
+             variables: T.StructType) -> DataFrame:
     parsed = payloads.select(
         "location_id", "_extracted_at",
         F.from_json("payload", _payload_schema(block, head, variables)).alias("p"),
@@ -34,7 +35,9 @@ def _flatten(payloads: DataFrame, block: str, head: list[str], key: T.StructFiel
     def variable(field: T.StructField) -> Column:
         # get() gives null past the end of a short array and for an absent variable.
         value = F.get(F.col(f"p.{block}.{field.name}"), F.col("i"))
-        return (_time(value, field.dataType) if isinstance(field.dataType, T.TimestampType) else value).alias(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            value = _time(value, field.dataType)
+        return value.alias(field.name)
 
     return rows.select(
         "location_id",

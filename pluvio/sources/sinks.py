@@ -68,6 +68,29 @@ def reload_window(target: DataFrame, batch: DataFrame, start, end, column: str =
     return target.filter(outside).unionByName(batch)
 
 
+def reload_table(spark: SparkSession, path: str, batch: DataFrame, schema: StructType, start, end,
+                 column: str = "date") -> DataFrame:
+    """Window reload of a stored table with a folder per ``column``; folders outside the window are not read.
+
+    Days of the window are overwritten from the batch, days the batch lacks are dropped, and
+    batch rows outside the window are appended. Running it again after a failure gives the same window.
+    """
+    inside = F.col(column).between(F.lit(start), F.lit(end))
+    fresh = _as_declared(batch, schema)
+    table = read_if_present(spark, path, schema)
+    old_days = set() if table is None else set(touched_partitions(table.filter(inside), column))
+    emptied = old_days - set(touched_partitions(fresh.filter(inside), column))
+    (
+        fresh.filter(inside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column).parquet(path)
+    )
+    for day in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    fresh.filter(~inside).write.mode("append").partitionBy(column).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+
+
 def touched_partitions(batch: DataFrame, column: str) -> list:
     """Partition values of a batch: one per folder the write creates anyway."""
     return [row[0] for row in batch.select(column).distinct().collect()]

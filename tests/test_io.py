@@ -131,6 +131,21 @@ def test_reload_window_bounded_and_unbounded(spark, rows):
     assert rows(sinks.reload_window(target, batch, start, end, unbounded=True), "id") == [(0,), (99,)]
 
 
+def test_reload_of_a_stored_table(spark, rows):
+    path = work_dir(spark, "reload")
+    days = [DAY + dt.timedelta(days=k) for k in range(5)]
+
+    def reload(batch, start, end):
+        return sinks.reload_table(spark, path, batch, schemas.RAW_DAILY, start, end)
+
+    reload(daily(spark, *[{"id": k, "date": d} for k, d in enumerate(days)]), days[0], days[4])
+    outside = {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
+    batch = daily(spark, {"id": 99, "date": days[1]}, {"id": 77, "date": days[4]})
+    got = rows(reload(batch, days[1], days[2]), "id")  # day 2 has no new row, day 4 is outside the window
+    assert got == [(0,), (3,), (4,), (77,), (99,)]
+    assert outside == {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
+
+
 def test_append_and_truncate(spark, rows):
     path = work_dir(spark, "append")
     assert sinks.append_load(daily(spark, {"id": 1}), path, schemas.RAW_DAILY).count() == 1
