@@ -52,4 +52,5 @@ def stream_ingest(
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stored).parquet(target).select(schema.fieldNames())
+    table = read_if_present(spark, target, stored)
+    return (spark.createDataFrame([], stored) if table is None else table).select(schema.fieldNames())

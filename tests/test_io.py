@@ -192,6 +192,12 @@ def test_stream_equals_batch_and_replays_are_harmless(spark, rows):
     assert rows(stream_ingest(spark, inbox, target, checkpoint, schemas.RAW_HOURLY)) == expected  # nothing new
 
 
+def test_stream_without_any_valid_row_gives_an_empty_table(spark):
+    inbox, target, checkpoint = (work_dir(spark, n) for n in ("inbox", "target", "checkpoint"))
+    hourly(spark, {"location_id": None}).write.parquet(inbox)
+    assert stream_ingest(spark, inbox, target, checkpoint, schemas.RAW_HOURLY).count() == 0
+
+
 def test_interrupted_stream_batch_is_finished_from_staging(spark, rows, monkeypatch):
     from pluvio.streaming import ingest
 
