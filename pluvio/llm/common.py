@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from pluvio.operators.joins import small_side
@@ -11,6 +15,20 @@ from pluvio.session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def on_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query(spark, ...)`` whose Python workers look for this package where the driver found it, besides their own path."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        path = environment.get("PYTHONPATH", "").split(":")
+        if root not in path:
+            environment["PYTHONPATH"] = ":".join([root, *filter(None, path)])
+        return query(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,11 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pluvio.llm import fingerprints, mixing, sharding
-from pluvio.llm.common import table
+from pluvio.llm import fingerprints, graph_search, html_extract, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity
+from pluvio.llm.common import held_out, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """Where the public vocabulary files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), quality.learning_rows())
+    scored = quality.scored(docs.select("doc_id", "text"), model)
+    fold = held_out(F.col("doc_id"), quality.FOLDS, quality.HELD_OUT)
+    return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), threshold=75)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    kept = line_dedup.drop_lines(docs, site="source", ratio=0.05, min_pages=5)
+    return kept.select("doc_id", "source", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
@@ -32,9 +71,41 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_fingerprints, op8_sharding, op9_mixing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.learning_rows())
+    scored = toxicity.scored(docs.select("doc_id", "text"), model)
+    fold = held_out(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD_OUT)
+    return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: on_workers(f)
+    for f in (
+        op1_quality, op2_ngram_join, op3_line_dedup, op4_html_extract, op5_packing,
+        op6_graph_search, op7_fingerprints, op8_sharding, op9_mixing, op10_toxicity,
+    )
+}
 
 ORACLE: dict[str, str] = {
+    "op3_line_dedup": r"""
+        WITH pages AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
+        totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
+        lines AS (
+          SELECT DISTINCT source, text, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+          FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages)),
+        often AS (
+          SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
+          WHERE l.line <> '' GROUP BY l.source, l.line, t.total HAVING count(*) >= 5 AND count(*) > 0.05 * t.total),
+        dropped AS (SELECT source, list(line) AS lines FROM often GROUP BY source),
+        cut AS (
+          SELECT d.doc_id, d.source, d.text, string_split(d.text, chr(10)) AS lines,
+                 list_filter(string_split(d.text, chr(10)), lambda x: NOT coalesce(list_contains(b.lines,
+                     regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), false)) AS kept
+          FROM documents d LEFT JOIN dropped b ON d.source IS NOT DISTINCT FROM b.source)
+        SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
+               coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped
+        FROM cut""",
     "op9_mixing": r"""
         WITH rows AS (
           SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
