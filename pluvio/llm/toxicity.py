@@ -28,6 +28,10 @@ from pluvio.llm.words import _BYTE, _LOWER, _power_tables, chunks, mix
 
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
 FEATURES = 1024
+# Standard deviations by which a feature's count in toxic text is lowered before features are compared.
+CAUTION = 2.0
+# Penalty on a weight's size, divided by the number of toxic examples.
+SPARSE = 0.04
 PREFIXES = (4, 5, 6)
 FOLDS, HELD_OUT = 4, 2
 CUT = 0.3
@@ -85,9 +89,11 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, hashes: np.ndarray, prior:
     feature = np.concatenate([np.asarray(r, np.int64) for r in rows] or [np.empty(0, np.int64)])
     row = np.repeat(np.arange(len(rows)), sizes)
     positive = positive.astype(bool)
-    share = np.where(positive, 1 / max(1, positive.sum()), 1 / max(1, (~positive).sum()))
+    share = np.where(positive, 1.0 / max(1, positive.sum()), 1 / max(1, (~positive).sum()))
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = np.log(prior / (1 - prior))
+    # Few examples ask for few words.
+    sparse = np.append(np.full(n, SPARSE / max(1, positive.sum())), 0.0)
     for turn in range(1, turns + 1):
         z = np.bincount(row, w[feature], len(rows)) + w[n]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -97,19 +103,25 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, hashes: np.ndarray, prior:
         pull = np.where(positive, prior * (p - 1) * share, 0.0)
         push = np.where(positive, -prior * p * share, p * share)
         slope = pull + push if negative_risk >= 0 else -push
-        gradient = np.append(np.bincount(feature, slope[row], n), slope.sum()) + decay * np.append(w[:n], 0.0)
+        gradient = np.append(np.bincount(feature, slope[row], n), slope.sum()) + decay * np.append(w[:n], 0.0) + sparse
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         w -= rate * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
+        # Words speak for toxicity or not at all; no text gets safe by adding harmless ones.
+        w[:n] = np.maximum(w[:n], 0.0)
     return Model(hashes, w[:n], float(w[n]))
 
 
 def telling(positive: np.ndarray, other: np.ndarray, positives: int, others: int, prior: float, keep: int) -> np.ndarray:
-    """Positions of the features whose presence tells most: their log-odds by the squared root of how often toxic text has them."""
-    p = (positive + 0.5) / (positives + 1)
-    u = (other + 0.5) / (others + 1)
-    n = np.maximum((u - prior * p) / (1 - prior), 0.25 / (others + 1))
-    gain = np.abs(np.log(p / n)) * np.sqrt(np.maximum(p, n))
-    return np.sort(np.lexsort((np.arange(len(gain)), -gain))[:keep])
+    """Positions of the features that speak most for toxic text: log-odds by the squared root of how often toxic text has them.
+
+    The rate in toxic text is taken at its lower confidence bound, so that words of a few texts do not pass for a pattern.
+    """
+    p = np.maximum(positive - CAUTION * np.sqrt(positive), 0) / max(1, positives)
+    u = other / max(1, others)
+    n = np.maximum(u - prior * positive / max(1, positives), 0) / (1 - prior) + 1 / (others + 1)
+    gain = np.where(p > 4 * n, np.log(np.maximum(p, 1e-12) / n) * np.sqrt(p), 0.0)
+    order = np.lexsort((np.arange(len(gain)), -gain))[:keep]
+    return np.sort(order[gain[order] > 0])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior: float | None = None,
@@ -126,8 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
     # Both lists of ids are bounded by parameters.
     positives = toxic.filter("toxic = 1").orderBy(key).limit(max_positive).select("doc_id", F.lit(1).alias("toxic"))
     ids = docs.select("doc_id").filter("doc_id is not null")
-    others = (ids.filter(learn) if learn is not None else ids).distinct().join(F.broadcast(positives.select("doc_id")), "doc_id", "left_anti")
-    others = others.orderBy(key).limit(max_unlabelled).select("doc_id", F.lit(0).alias("toxic"))
+    # Drawn from all texts, the toxic ones among them, as the prior says.
+    others = (ids.filter(learn) if learn is not None else ids).distinct().orderBy(key).limit(max_unlabelled).select("doc_id", F.lit(0).alias("toxic"))
     chosen = stored(positives.union(others), "toxic-sample")
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,16 +153,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
                 yield pd.DataFrame({"toxic": frame["toxic"].iloc[first : first + number].to_numpy(), "features": rows})
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    sample = stored(texts.mapInPandas(found, "toxic int, features array<long>"), "toxic-features")
+    # A text that was copied often is one example.
+    sample = stored(texts.mapInPandas(found, "toxic int, features array<long>").dropDuplicates(["toxic", "features"]), "toxic-features")
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1):
         return Model(np.empty(0, np.uint64), np.empty(0), -30.0)
     each = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.count_if(F.col("toxic") == 1).alias("positive"), F.count_if(F.col("toxic") == 0).alias("other")
     )
-    # A feature of a single text tells nothing of others; of the rest, those seen in toxic text or often come to the driver, bounded by the sample.
-    least = max(2, round(totals[1] * 0.01))
-    counted = each.filter((F.col("positive") >= least) | (F.col("other") >= 0.02 * totals.get(0, 0) + 2)).toPandas().sort_values("feature")
+    # Features of a few toxic texts tell nothing of others; the rest is bounded by the sample.
+    least = max(3, round(totals[1] * 0.005))
+    counted = each.filter(F.col("positive") >= least).toPandas().sort_values("feature")
     best = telling(counted["positive"].to_numpy(), counted["other"].to_numpy(), totals[1], totals.get(0, 0), prior, keep)
     hashes = np.sort(counted["feature"].to_numpy(np.int64).view(np.uint64)[best])
     signed = np.sort(hashes.view(np.int64))
