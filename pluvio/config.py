@@ -25,9 +25,5 @@ ROLLING_ROWS = 30
 # A side of a join is broadcast only after its size was measured to be at most this.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# A group is partitioned as a whole only after its rows were counted to be at most this.
-GROUP_LIMIT_ROWS = 4_000_000
-
-# Stored bytes a shuffle partition should stand for, and the most partitions to plan.
+# Stored bytes a shuffle partition should stand for.
 SHUFFLE_PARTITION_BYTES = 64 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000

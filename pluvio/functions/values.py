@@ -11,6 +11,11 @@ def rounded(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(18,6)"), digits).cast("double")
 
 
+def rounded_sum(value: Column, digits: int) -> Column:
+    """``rounded`` for sums, which may pass the twelve integer digits kept for single readings."""
+    return F.round(value.cast("decimal(38,6)"), digits).cast("double")
+
+
 def surrogate_key(*parts: Column) -> Column:
     """md5 of the parts as text joined by '-'; a null part counts as ``_null_``."""
     return F.md5(F.concat_ws("-", *[F.coalesce(p.cast("string"), lit("_null_")) for p in parts]))

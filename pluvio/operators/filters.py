@@ -30,13 +30,16 @@ def latest_date(df: DataFrame) -> Column:
 
 
 def last_n_days(df: DataFrame, n: int, as_of=None) -> DataFrame:
-    """Rows of ``[as_of - n, ...)``, n + 1 dates when ``as_of`` is the last one (the default).
+    """Rows of the n + 1 dates ``[as_of - n, as_of]``; ``as_of`` is the newest date by default.
 
-    Where the frame has a ``year_month``, the implied month filter prunes partition folders.
+    Where the frame has a ``year_month``, the implied month filters prune partition folders.
     """
-    first = F.date_sub(as_date(latest_date(df) if as_of is None else as_of), n)
-    recent = df.filter(F.col("date") >= first)
-    return recent.filter(F.col("year_month") >= year_month(first)) if "year_month" in df.columns else recent
+    last = as_date(latest_date(df) if as_of is None else as_of)
+    first = F.date_sub(last, n)
+    recent = df.filter(F.col("date").between(first, last))
+    if "year_month" in df.columns:
+        recent = recent.filter(F.col("year_month").between(year_month(first), year_month(last)))
+    return recent
 
 
 def in_mesoregion(df: DataFrame, meso: str | None) -> DataFrame:
@@ -58,20 +61,31 @@ def mesoregions(loc: DataFrame) -> DataFrame:
     return loc.select("mesoregion").dropna().distinct().orderBy("mesoregion")
 
 
-def hourly_cities(hourly: DataFrame) -> DataFrame:
-    return hourly.select("city_name").distinct().orderBy("city_name")
+def hourly_cities(coverage: DataFrame) -> DataFrame:
+    return coverage.select("city_name").distinct().orderBy("city_name")
 
 
 def of_city(df: DataFrame, city: str) -> DataFrame:
     return df.filter(F.col("city_name") == city)
 
 
-def max_date(hourly: DataFrame, city: str) -> DataFrame:
-    return of_city(hourly, city).agg(F.max("date").alias("max_date"))
+def stored_city(hourly: DataFrame, city: str, coverage: DataFrame | None = None) -> DataFrame:
+    """A city's hours. With the ``coverage`` table also the range of its location ids, on which the mart is sorted, so
+    that row groups are skipped by their statistics."""
+    own = of_city(hourly, city)
+    if coverage is None:
+        return own
+    ids = of_city(coverage, city)
+    low, high = (ids.agg(f("location_id")).scalar() for f in (F.min, F.max))
+    return own.filter(F.col("location_id").between(low, high))
+
+
+def max_date(coverage: DataFrame, city: str) -> DataFrame:
+    return of_city(coverage, city).agg(F.max("date").alias("max_date"))
 
 
-def available_dates(hourly: DataFrame, city: str, n: int = 60) -> DataFrame:
-    return of_city(hourly, city).select("date").distinct().orderBy(F.desc("date")).limit(n)
+def available_dates(coverage: DataFrame, city: str, n: int = 60) -> DataFrame:
+    return of_city(coverage, city).select("date").distinct().orderBy(F.desc("date")).limit(n)
 
 
 def city_directory(loc: DataFrame) -> DataFrame:
@@ -93,14 +107,20 @@ def city_directory(loc: DataFrame) -> DataFrame:
     )
 
 
-def hourly_window(hourly: DataFrame, city: str, n: int) -> DataFrame:
+def last_day(hourly: DataFrame, city: str, coverage: DataFrame | None = None) -> Column:
+    """A city's last date, from the small ``coverage`` table where there is one."""
+    return of_city(hourly if coverage is None else coverage, city).agg(F.max("date")).scalar()
+
+
+def hourly_window(hourly: DataFrame, city: str, n: int, coverage: DataFrame | None = None) -> DataFrame:
     """A city's hours of the n days before its own last date, that date included."""
-    own = of_city(hourly, city)
-    return own.filter(F.col("date") >= F.date_sub(own.agg(F.max("date")).scalar(), n))
+    first = F.date_sub(last_day(hourly, city, coverage), n)
+    return stored_city(hourly, city, coverage).filter(F.col("date") >= first)
 
 
-def hourly_series(hourly: DataFrame, city: str, cols: Sequence[str], n: int) -> DataFrame:
-    return hourly_window(hourly, city, n).select("observed_at", *cols).orderBy("observed_at")
+def hourly_series(hourly: DataFrame, city: str, cols: Sequence[str], n: int,
+                  coverage: DataFrame | None = None) -> DataFrame:
+    return hourly_window(hourly, city, n, coverage).select("observed_at", *cols).orderBy("observed_at")
 
 
 def city_series(daily: DataFrame, city: str, n: int, as_of=None) -> DataFrame:
@@ -112,11 +132,13 @@ def city_series(daily: DataFrame, city: str, n: int, as_of=None) -> DataFrame:
     )
 
 
-def compare_cities(daily: DataFrame, cities: Sequence[str], metric: str, n: int, as_of=None) -> DataFrame:
+def compare_cities(daily: DataFrame, cities: Sequence[str], metric: str, n: int, as_of=None,
+                   most: int | None = None) -> DataFrame:
+    """One metric of the chosen cities by day; ``most`` limits how many may be asked for."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    if not 1 <= len(cities) <= 3:
-        raise ValueError("compare one to three cities")
+    if not cities or (most is not None and len(cities) > most):
+        raise ValueError("no city to compare" if not cities else f"compare at most {most} cities")
     return (
         last_n_days(daily, n, as_of)
         .filter(F.col("city_name").isin(list(cities)))

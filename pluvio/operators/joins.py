@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pluvio.config import BROADCAST_LIMIT_BYTES
-from pluvio.functions.values import rounded
+from pluvio.functions.values import rounded, rounded_sum
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -68,6 +68,6 @@ def by_season(daily: DataFrame, dim: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("readings"),
             rounded(F.avg("temp_avg_c"), 2).alias("avg_temp"),
-            rounded(F.sum("precipitation_mm"), 1).alias("total_mm"),
+            rounded_sum(F.sum("precipitation_mm"), 1).alias("total_mm"),
         )
     )

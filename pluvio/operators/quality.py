@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -12,6 +13,8 @@ from pluvio.functions.calendar import MONTHS_PT, SEASONS_PT, WEEKDAYS_PT
 from pluvio.functions.values import load_status
 from pluvio.operators.audit import date_gaps
 from pluvio.operators.joins import latest_load, orphan_alerts
+from pluvio.operators.staging import daily_columns, hourly_columns
+from pluvio.plans.models import dim_dates
 
 
 # --- single checks -----------------------------------------------------------------------------
@@ -202,7 +205,11 @@ def _result(df: DataFrame, check: str, table: str, column: str, kind: str, sever
 
 def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-level checks of a table in one pass: a counter each, then one row per counter."""
-    counters = df.agg(*[F.count_if(c.violated()).alias(f"f{i}") for i, c in enumerate(checks)])
+    return _one_row_each(df.agg(*[F.count_if(c.violated()).alias(f"f{i}") for i, c in enumerate(checks)]), checks)
+
+
+def _one_row_each(counters: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The counters f0, f1, ... of one row as one row per check."""
     rows = [
         F.struct(
             F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), F.lit(c.column).alias("column"),
@@ -230,16 +237,65 @@ def singular_violations(tables: dict[str, DataFrame], now: Column, as_of=None) -
     }
 
 
-def run_suite(tables: dict[str, DataFrame], now: Column, checks: Sequence[Check] = tuple(CHECKS),
-              as_of=None) -> DataFrame:
-    """One row per check: failures, severity and pass/fail status."""
+def load_summary(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column], raw_checks: Sequence[Check],
+                 staged_checks: Sequence[Check], order: Sequence[str] = ("_extracted_at", "id")) -> DataFrame:
+    """A row per location: failures of the row-level checks on the raw and on the staged rows, newest load, date span.
+
+    One scan and one exchange of the raw table: its rows are combined by key before the exchange, which counts their
+    failures and picks the newest row, so a key of many repeats is no hot spot; ``columns`` stage that row.
+    """
+    time = keys[-1]
+    newest = F.max_by(F.struct(*[F.col(c) for c in raw.columns]), F.struct(*[F.col(c) for c in order]))
+    by_key = raw.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        *[F.count_if(c.violated()).alias(f"_raw{i}") for i, c in enumerate(raw_checks)],
+        F.max("_extracted_at").alias("_newest"), newest.alias("_row"),
+    )
+    counted = [f"_raw{i}" for i in range(len(raw_checks))]
+    staged = by_key.select(*counted, "_newest", *[f"_{k}" for k in keys], "_row.*").select(
+        *counted, "_newest", *[f"_{k}" for k in keys], *columns
+    )
+    # Rows without one of the keys are not staged.
+    present = reduce(and_, [F.col(f"_{k}").isNotNull() for k in keys])
+    return staged.groupBy(F.col("_location_id").alias("location_id")).agg(
+        *[F.sum(c).alias(c) for c in counted],
+        *[F.count_if(present & c.violated()).alias(f"_stg{i}") for i, c in enumerate(staged_checks)],
+        F.max("_newest").alias("_extracted_at"), F.min(f"_{time}").alias("first"), F.max(f"_{time}").alias("last"),
+    )
+
+
+def _summed(summary: DataFrame, checks: Sequence[Check], prefix: str) -> DataFrame:
+    totals = summary.agg(*[F.coalesce(F.sum(f"{prefix}{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(checks))])
+    return _one_row_each(totals, checks)
+
+
+def run_suite(tables: dict[str, DataFrame], store: Callable[[DataFrame, str], DataFrame], now: Column | None = None,
+              checks: Sequence[Check] = tuple(CHECKS), as_of=None) -> DataFrame:
+    """One row per check: failures, severity and pass/fail status.
+
+    ``tables`` holds raw_daily, raw_hourly, daily_facts, hourly_facts, alerts and locations. ``store`` writes a frame under a name and
+    reads it back: each raw table is scanned once, for a summary by location, from which its own checks, those of its staging
+    model, the load times and the calendar's bounds are read. ``int_daily`` is checked on the stored facts, which hold its rows.
+    ``now`` is the newest load of the daily table by default.
+    """
+    own = {t: [c for c in checks if c.table == t and c.kind != "unique"] for t in dict.fromkeys(c.table for c in checks)}
+    daily, hourly = (
+        store(load_summary(tables[raw], ["location_id", time], columns, own.get(raw, []), own.get(staged, [])), f"{raw}-summary")
+        for raw, staged, time, columns in (
+            ("raw_daily", "stg_daily", "date", daily_columns()), ("raw_hourly", "stg_hourly", "timestamp", hourly_columns()))
+    )
+    now = daily.agg(F.max("_extracted_at")).scalar() if now is None else now
+    bounds = (daily.agg(f(c)).scalar() for f, c in ((F.min, "first"), (F.max, "last")))
+    facts = tables["daily_facts"]
+    frames = {"int_daily": facts, "dim_datas": dim_dates(facts.sparkSession, *bounds)} | tables
     parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        row_level = [c for c in checks if c.table == table and c.kind != "unique"]
-        if row_level:
-            parts.append(_row_checks(tables[table], row_level))
-        parts += [_unique_check(tables[table], c) for c in checks if c.table == table and c.kind == "unique"]
-    for name, rows in singular_violations(tables, now, as_of).items():
+    for table, row_level in own.items():
+        if row_level and table in ("raw_daily", "raw_hourly", "stg_daily", "stg_hourly"):
+            summary = daily if table.endswith("daily") else hourly
+            parts.append(_summed(summary, row_level, "_raw" if table.startswith("raw") else "_stg"))
+        elif row_level:
+            parts.append(_row_checks(frames[table], row_level))
+        parts += [_unique_check(frames[table], c) for c in checks if c.table == table and c.kind == "unique"]
+    for name, rows in singular_violations(frames | {"raw_daily": daily}, now, as_of).items():
         failures = rows.agg(F.count(F.lit(1)).alias("failures"))
         parts.append(_result(failures, name, SINGULAR_CHECKS[name], "", "singular", "error"))
     results = reduce(DataFrame.unionByName, parts)
@@ -252,8 +308,12 @@ def failing_rows(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return table.select(F.explode(names).alias("check"), F.to_json(F.struct(*table.columns)).alias("row"))
 
 
-def store_failures(tables: dict[str, DataFrame], path: str, checks: Sequence[Check] = tuple(CHECKS)) -> None:
-    """Save violating rows, a folder per check. Rebalancing splits a hot check over several tasks and files."""
+def store_failures(tables: dict[str, DataFrame], path: str, checks: Sequence[Check] = tuple(CHECKS),
+                   now: Column | None = None, as_of=None) -> None:
+    """Save violating rows, a folder per check. Rebalancing splits a hot check over several tasks and files.
+
+    With ``now`` also those of the checks that span columns or tables.
+    """
     parts = [
         failing_rows(df, [c for c in checks if c.table == name])
         for name, df in tables.items()
@@ -264,5 +324,7 @@ def store_failures(tables: dict[str, DataFrame], path: str, checks: Sequence[Che
         for c in checks
         if c.kind == "unique" and c.table in tables
     ]
+    singular = {} if now is None else singular_violations(tables, now, as_of)
+    parts += [rows.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row")) for name, rows in singular.items()]
     failures = reduce(DataFrame.unionByName, parts)
     failures.hint("rebalance", F.col("check")).write.mode("overwrite").partitionBy("check").parquet(path)

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pluvio.functions.values import rounded
+from pluvio.functions.values import rounded, rounded_sum
 from pluvio.operators.filters import (
-    as_date, filter_alerts, hourly_window, in_mesoregion, last_n_days, latest_date, of_city, recent,
+    as_date, filter_alerts, hourly_window, in_mesoregion, last_day, last_n_days, latest_date, of_city, recent, stored_city,
 )
 
 # The mark shown before each severity.
@@ -106,23 +106,27 @@ def wet_matrix(daily: DataFrame, meso: str, n: int = 30, as_of=None) -> DataFram
     """Daily rain of each city of a mesoregion."""
     as_of = latest_date(daily) if as_of is None else as_of
     per_day = recent(daily, n, meso, as_of).groupBy("date", "city_name").agg(
-        rounded(F.sum("precipitation_mm"), 1).alias("precipitation_mm")
+        rounded_sum(F.sum("precipitation_mm"), 1).alias("precipitation_mm")
     )
     return _by_day_offset(per_day, "city_name", "precipitation_mm", n, as_of).fillna(0.0)
 
 
-def rainiest(daily: DataFrame, n: int = 30, meso: str | None = None, as_of=None) -> DataFrame:
-    """Top 20 cities by rain, or up to 300 of one mesoregion."""
-    return (
+def _first(ranked: DataFrame, k: int | None) -> DataFrame:
+    return ranked if k is None else ranked.limit(k)
+
+
+def rainiest(daily: DataFrame, n: int = 30, meso: str | None = None, as_of=None, k: int | None = 20) -> DataFrame:
+    """The k cities with most rain, or every city of one mesoregion."""
+    ranked = (
         recent(daily, n, meso, as_of)
         .groupBy("city_name", "mesoregion")
         .agg(
-            rounded(F.sum("precipitation_mm"), 1).alias("total_mm"),
+            rounded_sum(F.sum("precipitation_mm"), 1).alias("total_mm"),
             F.count_if(F.col("precipitation_mm") > 0).alias("dias_chuva"),
         )
         .orderBy(F.desc("total_mm"), "city_name", "mesoregion")
-        .limit(20 if meso is None else 300)
     )
+    return _first(ranked, k if meso is None else None)
 
 
 def rain_classes(daily: DataFrame, n: int = 30, meso: str | None = None, as_of=None) -> DataFrame:
@@ -174,11 +178,11 @@ def alerts_by_type(alerts: DataFrame, n: int = 30, meso: str | None = None, seve
 
 
 def alerts_by_city(alerts: DataFrame, n: int = 30, meso: str | None = None, severity: str | None = None,
-                   as_of=None) -> DataFrame:
-    """Top 15 cities, or up to 300 of one mesoregion."""
+                   as_of=None, k: int | None = 15) -> DataFrame:
+    """The k cities with most alerts, or every city of one mesoregion."""
     groups = filter_alerts(alerts, n, meso, severity, as_of).groupBy("city_name", "mesoregion")
     ranked = groups.agg(F.count(F.lit(1)).alias("alertas")).orderBy(F.desc("alertas"), "city_name", "mesoregion")
-    return ranked.limit(15 if meso is None else 300)
+    return _first(ranked, k if meso is None else None)
 
 
 def recent_alerts(alerts: DataFrame, n: int = 30, meso: str | None = None, severity: str | None = None,
@@ -221,14 +225,14 @@ def city_kpis(series: DataFrame) -> DataFrame:
     return series.agg(
         _avg("temp_max_c", 1, "mean_max"),
         _avg("temp_min_c", 1, "mean_min"),
-        rounded(F.coalesce(F.sum("precipitation_mm"), F.lit(0.0)), 1).alias("total_mm"),
+        rounded_sum(F.coalesce(F.sum("precipitation_mm"), F.lit(0.0)), 1).alias("total_mm"),
         _avg("temp_anomaly_c", 1, "mean_anomaly"),
     )
 
 
 def city_rain_days(series: DataFrame) -> DataFrame:
     return series.agg(
-        rounded(F.coalesce(F.sum("precipitation_mm"), F.lit(0.0)), 1).alias("total_mm"),
+        rounded_sum(F.coalesce(F.sum("precipitation_mm"), F.lit(0.0)), 1).alias("total_mm"),
         F.count_if(F.col("precipitation_mm") > 0).alias("rain_days"),
         F.count(F.lit(1)).alias("total_days"),
     )
@@ -242,10 +246,10 @@ def compare_summary(compared: DataFrame) -> DataFrame:
     )
 
 
-def profile_24h(hourly: DataFrame, city: str, n: int = 7) -> DataFrame:
+def profile_24h(hourly: DataFrame, city: str, n: int = 7, coverage: DataFrame | None = None) -> DataFrame:
     rain_per_day = F.sum("precipitation_mm") / F.nullif(F.countDistinct("date"), F.lit(0))
     return (
-        hourly_window(hourly, city, n)
+        hourly_window(hourly, city, n, coverage)
         .groupBy("hour")
         .agg(
             _avg("temperature_c", 1, "avg_temp"),
@@ -257,18 +261,19 @@ def profile_24h(hourly: DataFrame, city: str, n: int = 7) -> DataFrame:
     )
 
 
-def day_profile(hourly: DataFrame, city: str, day=None) -> DataFrame:
+def day_profile(hourly: DataFrame, city: str, day=None, coverage: DataFrame | None = None) -> DataFrame:
     """Hour averages of one date, by default the city's last."""
-    own = of_city(hourly, city)
-    day = as_date(own.agg(F.max("date")).scalar() if day is None else day)
+    own = stored_city(hourly, city, coverage)
+    day = as_date(last_day(hourly, city, coverage) if day is None else day)
     by_hour = own.filter(F.col("date") == day).groupBy("hour")
     return by_hour.agg(_avg("temperature_c", 1, "temp"), _avg("relative_humidity_pct", 1, "humidity")).orderBy("hour")
 
 
-def history_profile(hourly: DataFrame, city: str, day=None, n: int = 30) -> DataFrame:
+def history_profile(hourly: DataFrame, city: str, day=None, n: int = 30,
+                    coverage: DataFrame | None = None) -> DataFrame:
     """Hour averages of the n days before a date, the date itself left out."""
-    own = of_city(hourly, city)
-    day = as_date(own.agg(F.max("date")).scalar() if day is None else day)
+    own = stored_city(hourly, city, coverage)
+    day = as_date(last_day(hourly, city, coverage) if day is None else day)
     before = own.filter((F.col("date") >= F.date_sub(day, n)) & (F.col("date") < day))
     return (
         before.groupBy("hour")

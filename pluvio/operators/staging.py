@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pluvio.config import GROUP_LIMIT_ROWS
 from pluvio.functions.climate import temp_mean
+from pluvio.schemas import RAW_HOURLY
 
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
@@ -24,45 +24,34 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_e
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the key that has most: a narrow scan, counted before its shuffle; one number comes back."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
-def colocated(raw: DataFrame, key: str = "location_id", limit: int = GROUP_LIMIT_ROWS) -> DataFrame:
-    """Readings partitioned by location, so dedup and the rolling window share one exchange.
-
-    Only where no location has more than ``limit`` raw rows. Beyond it the readings come back
-    as they are: dedup then partitions by (location, date) and limits groups before its
-    exchange, and the window's own exchange moves at most one row per location and day.
-    """
-    return raw.repartition(key) if largest_group(raw, key) <= limit else raw
-
-
-def stg_daily(raw: DataFrame) -> DataFrame:
-    """Daily readings: required keys, newest extraction, model names."""
-    latest = dedup_latest(require(raw, "location_id", "date"), ["location_id", "date"])
+def daily_columns() -> list[Column]:
+    """Model names over the raw daily ones."""
     high, low = F.col("temperature_2m_max"), F.col("temperature_2m_min")
-    return latest.select(
-        "location_id",
-        "date",
-        "latitude",
-        "longitude",
+    return [
+        F.col("location_id"),
+        F.col("date"),
+        F.col("latitude"),
+        F.col("longitude"),
         high.alias("temp_max_c"),
         low.alias("temp_min_c"),
         temp_mean(high, low).alias("temp_avg_c"),
         F.col("precipitation_sum").alias("precipitation_mm"),
         F.col("rain_sum").alias("rain_mm"),
         F.col("wind_speed_10m_max").alias("wind_speed_max_kmh"),
-        "uv_index_max",
+        F.col("uv_index_max"),
         F.col("sunrise").alias("sunrise_at"),
         F.col("sunset").alias("sunset_at"),
-        "_extracted_at",
+        F.col("_extracted_at"),
         F.current_timestamp().alias("_loaded_at"),
-    )
+    ]
+
 
+def stg_daily(raw: DataFrame) -> DataFrame:
+    """Daily readings: required keys, newest extraction, model names."""
+    return dedup_latest(require(raw, "location_id", "date"), ["location_id", "date"]).select(daily_columns())
 
-# Model name of each hourly column that is renamed.
+
+# The model name of each hourly column that is renamed.
 HOURLY_NAMES = {
     "timestamp": "observed_at",
     "elevation": "elevation_m",
@@ -78,7 +67,12 @@ HOURLY_NAMES = {
 }
 
 
+def hourly_columns() -> list[Column]:
+    """Model names over the raw hourly ones."""
+    kept = [f.name for f in RAW_HOURLY if f.name != "id"]
+    return [*[F.col(c).alias(HOURLY_NAMES.get(c, c)) for c in kept], F.current_timestamp().alias("_loaded_at")]
+
+
 def stg_hourly(raw: DataFrame) -> DataFrame:
     """Hourly readings: required keys, newest extraction, model names."""
-    latest = dedup_latest(require(raw, "location_id", "timestamp"), ["location_id", "timestamp"])
-    return latest.drop("id").withColumnsRenamed(HOURLY_NAMES).withColumn("_loaded_at", F.current_timestamp())
+    return dedup_latest(require(raw, "location_id", "timestamp"), ["location_id", "timestamp"]).select(hourly_columns())

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pluvio import schemas
 from pluvio.config import Thresholds
-from pluvio.operators.staging import colocated, stg_daily, stg_hourly
+from pluvio.operators.filters import latest_date
+from pluvio.operators.staging import stg_daily, stg_hourly
 from pluvio.plans.models import climate_alerts, daily_facts, dim_dates, hourly_facts, int_daily
 from pluvio.sources.scans import read_mart
 from pluvio.sources.sinks import write_daily_facts, write_hourly_facts
@@ -19,6 +20,10 @@ class Marts:
     daily: DataFrame
     hourly: DataFrame
     alerts: DataFrame
+    # One row per location, city and date of the hourly mart.
+    coverage: DataFrame
+    # Newest date of the daily mart, stored beside it: reports need not look for it in the mart.
+    as_of: Column
 
 
 def open_marts(spark: SparkSession, root: str) -> Marts:
@@ -26,25 +31,37 @@ def open_marts(spark: SparkSession, root: str) -> Marts:
         daily=read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS),
         hourly=read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS),
         alerts=read_mart(spark, f"{root}/alerts", schemas.ALERTS),
+        coverage=spark.read.schema(schemas.HOURLY_COVERAGE).parquet(f"{root}/hourly_coverage"),
+        as_of=spark.read.schema("date date").parquet(f"{root}/newest").agg(F.max("date")).scalar(),
     )
 
 
 def build_marts(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
                 thresholds: Thresholds = Thresholds()) -> Marts:
     """Full rebuild of the marts under ``root``. The alerts read the stored facts, not the whole chain again."""
-    write_daily_facts(daily_facts(int_daily(stg_daily(colocated(raw_daily)), loc)), f"{root}/daily_facts")
+    write_daily_facts(daily_facts(int_daily(stg_daily(raw_daily), loc)), f"{root}/daily_facts")
     stored = read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS)
     write_daily_facts(climate_alerts(stored, thresholds), f"{root}/alerts")
+    spark.range(1).select(latest_date(stored).alias("date")).write.mode("overwrite").parquet(f"{root}/newest")
     write_hourly_facts(hourly_facts(stg_hourly(raw_hourly), loc), f"{root}/hourly_facts")
+    hours = read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS)
+    covered = hours.groupBy("location_id", "city_name", "date").agg(F.count(F.lit(1)).alias("hours"))
+    covered.sort("city_name").write.mode("overwrite").parquet(f"{root}/hourly_coverage")
     return open_marts(spark, root)
 
 
 def register_layers(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
-                    database: str = "pluvio", start="2024-01-01", end="2030-12-31") -> dict[str, str]:
+                    database: str, start="2024-01-01", end="2030-12-31") -> dict[str, str]:
     """Register staging and intermediate models as temp views, marts and seed as tables stored under ``root``.
 
-    Returns the layer of each name to read: views by plain name, tables by ``database.name``.
+    Returns the layer of each name to read: views by plain name, tables by ``database.name``. A table of that name
+    which lies elsewhere is someone else's: it is an error, and nothing is written.
     """
+    for name in ("daily_facts", "hourly_facts", "alerts", "locations", "dim_datas"):
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            found = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").filter("col_name = 'Location'").first()
+            if found is None or not found.data_type.rstrip("/").endswith(f"{root.split(':')[-1].rstrip('/')}/{name}"):
+                raise ValueError(f"{database}.{name} is stored outside {root}")
     staged = stg_daily(raw_daily)
     views = {"stg_daily": staged, "stg_hourly": stg_hourly(raw_hourly), "int_daily": int_daily(staged, loc)}
     for name, df in views.items():

@@ -16,15 +16,15 @@ HOURLY_GEO = ["city_name", "state_name", "region", "mesoregion", "latitude", "lo
 
 
 def enrich(stg: DataFrame, loc: DataFrame) -> DataFrame:
-    """Daily readings with the seed's geography, null where the seed lacks the location."""
-    return with_geography(stg, loc, DAILY_GEO)
+    """Daily readings with the seed's geography, null where the seed lacks the location. A small seed is broadcast."""
+    return with_geography(stg, small_side(loc.select("location_id", *DAILY_GEO)), DAILY_GEO)
 
 
 def int_daily(stg: DataFrame, loc: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """Staging plus daylight, rolling means and geography.
 
-    The rolling window leaves the readings partitioned and sorted by location, so the join
-    that follows moves only the seed, whatever its size.
+    Dedup exchanges by (location, date); the rolling window's own exchange then moves at most one
+    row per location and day.
     """
     rolled = rolling_avg(stg, {"temp_avg_30d_c": "temp_avg_c", "precip_avg_30d_mm": "precipitation_mm"}, rows)
     daylight = climate.daylight_hours(F.col("sunrise_at"), F.col("sunset_at"))

@@ -11,10 +11,10 @@ from pluvio import schemas
 from pluvio.functions import calendar as cal, climate, values
 from pluvio.operators import audit, filters as fl, joins, quality as dq, reports as rp
 from pluvio.operators.rolling import rolling_avg
-from pluvio.operators.staging import colocated, dedup_latest, require, stg_daily, stg_hourly
+from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourly
 from pluvio.plans import models
 from pluvio.plans.layers import Marts, build_marts, open_marts, register_layers
-from pluvio.session import configure, stored_bytes, work_dir
+from pluvio.session import configure, stored_state, work_dir
 from pluvio.sources import driver_tables, payloads, scans, sinks
 from pluvio.streaming.ingest import stream_ingest
 
@@ -27,19 +27,23 @@ KEEP_DAILY = ["id", "latitude", "longitude"]
 KEEP_HOURLY = ["id", "latitude", "longitude", "elevation", "timezone"]
 WALL_CLOCK = ["_loaded_at", "_dbt_updated_at"]
 
-# Folders of marts and landed raw tables already written by this application.
-_written: dict[tuple[str, str, str], str] = {}
+# What the readings and locations are derived from.
+TABLES = ("lineitem", "events", "supplier", "nation", "region")
+
+# Folders of marts and landed raw tables already written by this application, by the state of their inputs.
+_written: dict[tuple, str] = {}
 
 
 class Inputs:
     """The tables a query starts from, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = configure(spark, stored_bytes(spark, sf_dir))
+        self.state = tuple(stored_state(spark, f"{sf_dir}/{t}.parquet") for t in TABLES)
+        self.spark = configure(spark, sum(size for size, _, _ in self.state))
         self.sf_dir = sf_dir
 
     def _once(self, name: str, write: Callable[[str], object]) -> str:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.state, name)
         if key not in _written:
             path = work_dir(self.spark, name)
             write(path)
@@ -68,7 +72,7 @@ class Inputs:
 
     @cached_property
     def int_daily(self) -> DataFrame:
-        return models.int_daily(stg_daily(colocated(self.raw_daily)), self.locations)
+        return models.int_daily(self.stg_daily, self.locations)
 
     @cached_property
     def daily_facts(self) -> DataFrame:
@@ -88,7 +92,7 @@ class Inputs:
 
     @cached_property
     def as_of(self) -> Column:
-        return fl.latest_date(self.marts.daily)
+        return self.marts.as_of
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -114,9 +118,22 @@ class Inputs:
             return self._once(name, lambda path: self.locations.write.csv(path, header=True))
         return self._once(name, lambda path: getattr(self, name).write.parquet(path))
 
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def suite_tables(self) -> dict[str, DataFrame]:
+        """What the quality suite starts from."""
+        return {
+            "raw_daily": self.raw_daily, "raw_hourly": self.raw_hourly, "daily_facts": self.marts.daily,
+            "hourly_facts": self.marts.hourly, "alerts": self.marts.alerts, "locations": self.locations,
+        }
+
     @cached_property
     def checked(self) -> dict[str, DataFrame]:
-        """Every table the quality suite looks at."""
+        """Every table whose violating rows are stored."""
         return {
             "raw_daily": self.raw_daily, "raw_hourly": self.raw_hourly, "stg_daily": self.stg_daily,
             "stg_hourly": self.stg_hourly, "int_daily": self.int_daily, "daily_facts": self.marts.daily,
@@ -159,6 +176,33 @@ def _incremental_read(i: Inputs) -> DataFrame:
     return scans.read_increment(source, target)
 
 
+def _with_faults(packed: DataFrame, short: str) -> DataFrame:
+    """Payloads as services send them: the array ``short`` lacks its last element, and each location adds a
+    cut-off payload and one without readings."""
+    shortened = F.regexp_replace("payload", rf'("{short}":\[[^\]]*?),?[^,\[\]]*\]', "$1]")
+    good = packed.withColumn("payload", shortened)
+    newest = packed.groupBy("location_id").agg(F.max("payload").alias("payload"), F.max("_extracted_at").alias("_extracted_at"))
+    cut = newest.withColumn("payload", F.expr("left(payload, length(payload) - 1)"))
+    empty = newest.withColumn("payload", F.lit('{"latitude": 1.5, "daily": {"time": []}, "hourly": {}}'))
+    return good.unionByName(cut.select(good.columns)).unionByName(empty.select(good.columns))
+
+
+def _daily_payloads(i: Inputs) -> DataFrame:
+    return _with_faults(payloads.pack_daily(dedup_latest(i.raw_daily, ["location_id", "date"])), "rain_sum")
+
+
+def _hourly_payloads(i: Inputs) -> DataFrame:
+    return _with_faults(payloads.pack_hourly(dedup_latest(i.raw_hourly, ["location_id", "timestamp"])), "cloud_cover")
+
+
+def _rejects(i: Inputs) -> DataFrame:
+    parts = [
+        payloads.rejects(sent, block).groupBy("reason").agg(F.count(F.lit(1)).alias("payloads")).withColumn("block", F.lit(block))
+        for sent, block in ((_daily_payloads(i), "daily"), (_hourly_payloads(i), "hourly"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _append_load(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "append")
     for batch in _polls(i.raw_daily):
@@ -166,17 +210,27 @@ def _append_load(i: Inputs) -> DataFrame:
     return table
 
 
-def _upsert(raw: DataFrame, key: str, keep: list[str]) -> DataFrame:
+def _upsert(i: Inputs, raw: DataFrame, schema, key: str, keep: list[str]) -> DataFrame:
+    """The morning's readings in a stored table, then the afternoon's upserted, twice."""
     keys = ["location_id", key]
+    path, staging = work_dir(i.spark, "upsert"), work_dir(i.spark, "upsert-staging")
+    day = {"partition": "date"} if key == "date" else {"partition": "day", "day_of": key}
     morning, afternoon = _polls(raw)
-    return sinks.upsert(dedup_latest(morning, keys), afternoon, keys, keep)
+    for batch in (morning, afternoon, afternoon):
+        table = sinks.upsert_table(i.spark, path, batch, schema, staging, keys, keep, **day)
+    return table
 
 
 def _reload(i: Inputs) -> DataFrame:
+    """A stored table whose window is reloaded, twice."""
+    path = work_dir(i.spark, "reload")
+    i.raw_daily.write.partitionBy("date").parquet(path)
     start, end = (F.lit(d).cast("date") for d in RELOAD)
     batch = i.raw_daily.filter(F.col("date").between(start, end))
     batch = batch.withColumn("wind_speed_10m_max", F.col("wind_speed_10m_max") + 1)
-    return sinks.reload_window(i.raw_daily, batch, start, end)
+    for _ in range(2):
+        table = sinks.reload_table(i.spark, path, batch, schemas.RAW_DAILY, *RELOAD)
+    return table
 
 
 def _truncate_reload(i: Inputs) -> DataFrame:
@@ -208,7 +262,7 @@ def _write_hourly(i: Inputs) -> DataFrame:
 
 def _register_layers(i: Inputs) -> DataFrame:
     root = work_dir(i.spark, "layers")
-    layers = register_layers(i.spark, i.raw_daily, i.raw_hourly, i.locations, root,
+    layers = register_layers(i.spark, i.raw_daily, i.raw_hourly, i.locations, root, root.split("/")[-1].replace("-", "_"),
                              start=i._bound(F.min), end=i._bound(F.max))
     counts = [
         i.spark.table(name).agg(
@@ -241,7 +295,9 @@ def _compared(i: Inputs) -> DataFrame:
 
 
 def _profile_diff(i: Inputs) -> DataFrame:
-    return joins.profile_diff(rp.day_profile(i.marts.hourly, CITY), rp.history_profile(i.marts.hourly, CITY))
+    hourly, coverage = i.marts.hourly, i.marts.coverage
+    return joins.profile_diff(
+        rp.day_profile(hourly, CITY, coverage=coverage), rp.history_profile(hourly, CITY, coverage=coverage))
 
 
 def _facts_with(i: Inputs, **columns: Column) -> DataFrame:
@@ -270,14 +326,13 @@ def _anomalies(i: Inputs) -> DataFrame:
 
 def _store_failures(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "failures")
-    dq.store_failures(i.checked, path)
+    dq.store_failures(i.checked, path, now=i.now, as_of=i.as_of)
     stored = i.spark.read.schema("row string, check string").parquet(path)
     return stored.groupBy("check").agg(F.count("row").alias("failures"))
 
 
 def _rolling(i: Inputs, name: str, column: str) -> DataFrame:
-    staged = stg_daily(colocated(i.raw_daily))
-    return rolling_avg(staged, {name: column}).select("location_id", "date", column, name)
+    return rolling_avg(i.stg_daily, {name: column}).select("location_id", "date", column, name)
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -285,16 +340,15 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scan_raw_daily": lambda i: scans.read_raw_daily(i.spark, i.landed("raw_daily")),
     "scan_raw_hourly": lambda i: scans.read_raw_hourly(i.spark, i.landed("raw_hourly")),
     "scan_locations_csv": lambda i: scans.read_locations(i.spark, i.landed("locations")),
-    "flatten_daily_payload": lambda i: payloads.flatten_daily(
-        payloads.pack_daily(dedup_latest(i.raw_daily, ["location_id", "date"]))),
-    "flatten_hourly_payload": lambda i: payloads.flatten_hourly(
-        payloads.pack_hourly(dedup_latest(i.raw_hourly, ["location_id", "timestamp"]))),
+    "flatten_daily_payload": lambda i: payloads.flatten_daily(_daily_payloads(i)),
+    "flatten_hourly_payload": lambda i: payloads.flatten_hourly(_hourly_payloads(i)),
+    "flatten_rejects": _rejects,
     "normalize_timestamps": _normalize_timestamps,
     "cast_for_warehouse": _cast_for_warehouse,
     "incremental_read": _incremental_read,
     "append_load": _append_load,
-    "upsert_daily": lambda i: _upsert(i.raw_daily, "date", KEEP_DAILY),
-    "upsert_hourly": lambda i: _upsert(i.raw_hourly, "timestamp", KEEP_HOURLY),
+    "upsert_daily": lambda i: _upsert(i, i.raw_daily, schemas.RAW_DAILY, "date", KEEP_DAILY),
+    "upsert_hourly": lambda i: _upsert(i, i.raw_hourly, schemas.RAW_HOURLY, "timestamp", KEEP_HOURLY),
     "delete_window_reload": _reload,
     "truncate_reload": _truncate_reload,
     "skip_existing_locations": _pending,
@@ -308,12 +362,13 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "filter_last_n_days": lambda i: fl.last_n_days(i.marts.daily, 30, i.as_of).drop(*WALL_CLOCK),
     "filter_alerts": lambda i: fl.filter_alerts(i.marts.alerts, 30, MESO, "high", i.as_of).drop(*WALL_CLOCK),
     "distinct_mesoregions": lambda i: fl.mesoregions(i.locations),
-    "hourly_cities": lambda i: fl.hourly_cities(i.marts.hourly),
-    "available_dates": lambda i: fl.available_dates(i.marts.hourly, CITY),
+    "hourly_cities": lambda i: fl.hourly_cities(i.marts.coverage),
+    "available_dates": lambda i: fl.available_dates(i.marts.coverage, CITY),
     "city_directory": lambda i: fl.city_directory(i.locations),
     "hourly_temp_humidity": lambda i: fl.hourly_series(
-        i.marts.hourly, CITY, ["temperature_c", "relative_humidity_pct"], 7),
-    "hourly_wind_rain": lambda i: fl.hourly_series(i.marts.hourly, CITY, ["wind_speed_kmh", "precipitation_mm"], 7),
+        i.marts.hourly, CITY, ["temperature_c", "relative_humidity_pct"], 7, i.marts.coverage),
+    "hourly_wind_rain": lambda i: fl.hourly_series(
+        i.marts.hourly, CITY, ["wind_speed_kmh", "precipitation_mm"], 7, i.marts.coverage),
     "city_climate_series": _series,
     "compare_cities": _compared,
     # joins
@@ -342,14 +397,14 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "alert_severity_kpis": lambda i: rp.severity_kpis(i.marts.alerts, as_of=i.as_of),
     "alerts_by_type": lambda i: rp.alerts_by_type(i.marts.alerts, as_of=i.as_of),
     "alerts_by_city": lambda i: rp.alerts_by_city(i.marts.alerts, as_of=i.as_of),
-    "hourly_max_date": lambda i: fl.max_date(i.marts.hourly, CITY),
-    "profile_24h": lambda i: rp.profile_24h(i.marts.hourly, CITY),
+    "hourly_max_date": lambda i: fl.max_date(i.marts.coverage, CITY),
+    "profile_24h": lambda i: rp.profile_24h(i.marts.hourly, CITY, coverage=i.marts.coverage),
     "city_kpis": lambda i: rp.city_kpis(_series(i)),
     "city_rain_days": lambda i: rp.city_rain_days(_series(i)),
     "compare_cities_summary": lambda i: rp.compare_summary(_compared(i)),
     "wet_matrix": lambda i: rp.wet_matrix(i.marts.daily, MESO, as_of=i.as_of),
-    "day_profile": lambda i: rp.day_profile(i.marts.hourly, CITY),
-    "history_profile": lambda i: rp.history_profile(i.marts.hourly, CITY),
+    "day_profile": lambda i: rp.day_profile(i.marts.hourly, CITY, coverage=i.marts.coverage),
+    "history_profile": lambda i: rp.history_profile(i.marts.hourly, CITY, coverage=i.marts.coverage),
     "profile_diff_summary": lambda i: rp.diff_summary(_profile_diff(i)),
     "map_extent": lambda i: rp.map_extent(rp.latest_per_location(i.marts.daily, MESO)),
     "raw_row_counts": lambda i: audit.row_counts(daily=i.raw_daily, hourly=i.raw_hourly),
@@ -360,6 +415,22 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incomplete_hourly": lambda i: audit.incomplete(
         i.raw_hourly, audit.fullest(i.raw_hourly), "horas_coletadas", "horas_faltando", "horas_esperadas"),
     "incomplete_since_start": lambda i: audit.incomplete_since(i.raw_daily, i._bound(F.min), i._bound(F.max)),
+    # the same reports with the filters of the pages
+    "home_kpis_meso": lambda i: rp.home_kpis(i.marts.daily, MESO, i.as_of),
+    "alert_count_7d_meso": lambda i: rp.alert_count(i.marts.alerts, MESO, i.as_of),
+    "temp_trend_meso": lambda i: rp.temp_trend(i.marts.daily, 30, MESO, i.as_of),
+    "hottest_cities_meso": lambda i: rp.hottest(i.marts.daily, 10, MESO, i.as_of),
+    "coldest_cities_meso": lambda i: rp.coldest(i.marts.daily, 10, MESO, i.as_of),
+    "rainiest_cities_meso": lambda i: rp.rainiest(i.marts.daily, 30, MESO, i.as_of),
+    "rain_class_distribution_meso": lambda i: rp.rain_classes(i.marts.daily, 30, MESO, i.as_of),
+    "latest_per_location_meso": lambda i: rp.latest_per_location(i.marts.daily, MESO),
+    "alert_severity_kpis_meso": lambda i: rp.severity_kpis(i.marts.alerts, 30, MESO, None, i.as_of),
+    "alerts_by_type_filtered": lambda i: rp.alerts_by_type(i.marts.alerts, 30, MESO, "high", i.as_of),
+    "alerts_by_city_meso": lambda i: rp.alerts_by_city(i.marts.alerts, 30, MESO, None, i.as_of),
+    "alerts_by_city_severity": lambda i: rp.alerts_by_city(i.marts.alerts, 30, None, "critical", i.as_of),
+    "recent_alerts_filtered": lambda i: rp.recent_alerts(i.marts.alerts, 30, MESO, "high", i.as_of),
+    "meso_rain_as_of": lambda i: rp.meso_rain(i.marts.daily, 30, F.date_sub(i.as_of, 100)),
+    "meso_rain_matrix_as_of": lambda i: rp.rain_matrix(i.marts.daily, 30, F.date_sub(i.as_of, 100)),
     # windows
     "dedup_latest_daily": lambda i: dedup_latest(i.raw_daily, ["location_id", "date"]),
     "dedup_latest_hourly": lambda i: dedup_latest(i.raw_hourly, ["location_id", "timestamp"]),
@@ -429,7 +500,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         {"hourly": i.raw_hourly, "daily": i.raw_daily}, i.now_all, minutes=30, mode="any"),
     "dq_recent_load_ingest": lambda i: dq.recent_load(
         {"daily": i.raw_daily, "hourly": i.raw_hourly}, i.now_all, hours=7, mode="all"),
-    "dq_suite": lambda i: dq.run_suite(i.checked, i.now, as_of=i.as_of),
+    "dq_suite": lambda i: dq.run_suite(i.suite_tables, i.store, as_of=i.as_of),
     "dq_store_failures": _store_failures,
     # streaming
     "stream_ingest_upsert": _stream,

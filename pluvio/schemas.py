@@ -104,3 +104,6 @@ ALERTS = _struct(
     ("temp_max_c", _D), ("temp_min_c", _D), ("temp_anomaly_c", _D), ("precipitation_mm", _D),
     ("wind_speed_max_kmh", _D), ("uv_index_max", _D), ("_dbt_updated_at", _TS),
 )
+
+# Which hours the hourly mart holds: one row per location, city and date.
+HOURLY_COVERAGE = _struct(("location_id", _S), ("city_name", _S), ("date", _DATE), ("hours", T.LongType()))

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from pluvio.config import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITION_BYTES
+from pluvio.config import SHUFFLE_PARTITION_BYTES
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -17,11 +17,19 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
-def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+def stored_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and time of the last change of a file or folder: other values mean other content."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = files.getContentSummary(folder)
+    return summary.getLength(), summary.getFileCount(), files.getFileStatus(folder).getModificationTime()
+
+
+def configure(spark: SparkSession, input_bytes: int = 0, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> SparkSession:
     """Set the runtime options the models rely on; readings are wall-clock, so the zone is UTC.
 
-    With ``input_bytes`` shuffles start with enough partitions for that input, where the session's
-    own number is lower; the adaptive planner merges small ones again.
+    With ``input_bytes`` shuffles start with a partition per ``partition_bytes`` of that input, where the
+    session's own number is lower; the adaptive planner merges small ones again.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -29,7 +37,7 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     # Microsecond timestamps carry min/max statistics, so filters on load time skip row groups.
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    wanted = math.ceil(input_bytes / partition_bytes)
     if wanted > planned:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark

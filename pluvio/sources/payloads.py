@@ -1,4 +1,8 @@
-"""API payloads: one JSON object per request, holding parallel arrays."""
+"""API payloads: one JSON object per request, holding parallel arrays.
+
+Array elements are read as text and converted one by one, so an element that does not fit its type is null
+alone. What cannot be read at all is not lost: ``rejects`` returns it with a reason.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +13,24 @@ from pluvio.functions.values import norm_ts
 
 
 def _payload_schema(block: str, head: list[str], variables: T.StructType) -> T.StructType:
-    def wire(kind: T.DataType) -> T.DataType:
-        return T.StringType() if isinstance(kind, T.TimestampType) else kind
+    arrays = [T.StructField(name, T.ArrayType(T.StringType())) for name in ["time", *variables.names]]
+    heads = [T.StructField(h, T.StringType()) for h in head]
+    return T.StructType([*heads, T.StructField(block, T.StructType(arrays)), T.StructField("_corrupt", T.StringType())])
+
+
+def _parsed(payloads: DataFrame, block: str, head: list[str], variables: T.StructType) -> DataFrame:
+    schema = _payload_schema(block, head, variables)
+    return payloads.withColumn("p", F.from_json("payload", schema, {"columnNameOfCorruptRecord": "_corrupt"}))
 
-    arrays = [T.StructField(f.name, T.ArrayType(wire(f.dataType))) for f in variables]
-    arrays.insert(0, T.StructField("time", T.ArrayType(T.StringType())))
-    heads = [T.StructField(h, T.StringType() if h == "timezone" else T.DoubleType()) for h in head]
-    return T.StructType([*heads, T.StructField(block, T.StructType(arrays))])
+
+def _value(text: Column, kind: T.DataType) -> Column:
+    """One element of an array; null where it does not fit. A whole number may be written with a fraction of zero."""
+    if isinstance(kind, T.TimestampType):
+        return _time(text, kind)
+    if isinstance(kind, T.IntegralType):
+        number = text.try_cast("double")
+        return F.when(number == F.floor(number), number).try_cast(kind)
+    return text.try_cast(kind)
 
 
 def _time(text: Column, kind: T.DataType) -> Column:
@@ -26,23 +41,17 @@ def _time(text: Column, kind: T.DataType) -> Column:
 
 def _flatten(payloads: DataFrame, block: str, head: list[str], key: T.StructField,
              variables: T.StructType) -> DataFrame:
-    parsed = payloads.select(
-        "location_id", "_extracted_at",
-        F.from_json("payload", _payload_schema(block, head, variables)).alias("p"),
-    )
+    parsed = _parsed(payloads, block, head, variables)
     rows = parsed.select("location_id", "_extracted_at", "p", F.posexplode(f"p.{block}.time").alias("i", "t"))
 
     def variable(field: T.StructField) -> Column:
         # get() gives null past the end of a short array and for an absent variable.
-        value = F.get(F.col(f"p.{block}.{field.name}"), F.col("i"))
-        if isinstance(field.dataType, T.TimestampType):
-            value = _time(value, field.dataType)
-        return value.alias(field.name)
+        return _value(F.get(F.col(f"p.{block}.{field.name}"), F.col("i")), field.dataType).alias(field.name)
 
     return rows.select(
         "location_id",
         _time(F.col("t"), key.dataType).alias(key.name),
-        *[F.col(f"p.{h}").alias(h) for h in head],
+        *[F.col(f"p.{h}").try_cast("string" if h == "timezone" else "double").alias(h) for h in head],
         *[variable(f) for f in variables],
         "_extracted_at",
     )
@@ -61,12 +70,25 @@ def flatten_hourly(payloads: DataFrame) -> DataFrame:
     return _flatten(payloads, "hourly", head, key, schemas.HOURLY_VARIABLES)
 
 
+def rejects(payloads: DataFrame, block: str = "daily") -> DataFrame:
+    """(location_id, payload, _extracted_at, reason) of the payloads that give no rows.
+
+    Reasons: ``malformed`` (no JSON object), ``no_times`` (no time array, or an empty one).
+    """
+    parsed = _parsed(payloads, block, [], T.StructType())
+    malformed = F.col("payload").isNull() | F.col("p").isNull() | F.col("p._corrupt").isNotNull()
+    no_times = F.coalesce(F.size(F.col(f"p.{block}.time")), F.lit(0)) <= 0
+    reason = F.when(malformed, "malformed").when(no_times, "no_times")
+    return parsed.select("location_id", "payload", "_extracted_at", reason.alias("reason")).filter("reason is not null")
+
+
 def _pack(df: DataFrame, block: str, head: list[str], key: str, key_text: Column, span: Column,
           variables: T.StructType) -> DataFrame:
     def wire(field: T.StructField) -> Column:
         if isinstance(field.dataType, T.TimestampType):
             return F.date_format(field.name, "yyyy-MM-dd'T'HH:mm").alias(field.name)
-        return F.col(field.name)
+        # Services write whole numbers as 55 or as 55.0.
+        return F.col(field.name).cast("double").alias(field.name) if isinstance(field.dataType, T.IntegralType) else F.col(field.name)
 
     row = F.struct(F.col(key).alias("_key"), key_text.alias("time"), *[wire(f) for f in variables])
     grouped = df.groupBy("location_id", span.alias("span")).agg(

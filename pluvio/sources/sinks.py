@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
+from pluvio.operators.filters import as_date
 from pluvio.operators.staging import dedup_latest
 from pluvio.sources.scans import read_if_present
 
@@ -68,84 +71,97 @@ def reload_window(target: DataFrame, batch: DataFrame, start, end, column: str =
     return target.filter(outside).unionByName(batch)
 
 
-def reload_table(spark: SparkSession, path: str, batch: DataFrame, schema: StructType, start, end,
-                 column: str = "date") -> DataFrame:
-    """Window reload of a stored table with a folder per ``column``; folders outside the window are not read.
+def _require_dates(schema: StructType, column: str) -> None:
+    """Partition values come to the driver; days are bounded by the calendar, other values are not."""
+    if not isinstance(schema[column].dataType, DateType):
+        raise ValueError(f"a stored table is partitioned by a date, {column} is none")
 
-    Days of the window are overwritten from the batch, days the batch lacks are dropped, and
-    batch rows outside the window are appended. Running it again after a failure gives the same window.
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def reload_table(spark: SparkSession, path: str, batch: DataFrame, schema: StructType, start, end=None,
+                 column: str = "date", unbounded: bool = False) -> DataFrame:
+    """Window reload of a stored table with a folder per day; folders outside the window are not read.
+
+    Days of the window are overwritten from the batch, days the batch lacks are dropped; ``unbounded`` drops all
+    later days too. A batch row outside the window, or without a date, is an error and nothing is written: it would be
+    loaded again by each run. Running a load again, also after a failure, gives the same table.
     """
-    inside = F.col(column).between(F.lit(start), F.lit(end))
+    _require_dates(schema, column)
+    inside = F.col(column) >= as_date(start)
+    if not unbounded:
+        inside = inside & (F.col(column) <= as_date(end))
     fresh = _as_declared(batch, schema)
+    if not fresh.filter(~F.coalesce(inside, F.lit(False))).isEmpty():
+        raise ValueError(f"the batch has rows outside the window, or without a {column}")
     table = read_if_present(spark, path, schema)
     old_days = set() if table is None else set(touched_partitions(table.filter(inside), column))
-    emptied = old_days - set(touched_partitions(fresh.filter(inside), column))
-    (
-        fresh.filter(inside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column).parquet(path)
-    )
+    emptied = old_days - set(touched_partitions(fresh, column))
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     for day in emptied:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    fresh.filter(~inside).write.mode("append").partitionBy(column).parquet(path)
+        files, folder = _file_system(spark, f"{path}/{column}={day}")
+        files.delete(folder, True)
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
 def touched_partitions(batch: DataFrame, column: str) -> list:
-    """Partition values of a batch: one per folder the write creates anyway."""
+    """Days of a batch: one per folder the write creates anyway."""
     return [row[0] for row in batch.select(column).distinct().collect()]
 
 
-def rewrite_partitions(merged: DataFrame, path: str, staging: str, column: str, cluster: Sequence[str]) -> None:
-    """Replace the partitions present in ``merged``.
-
-    ``merged`` may read ``path``: it is written to ``staging`` first and the partitions are
-    overwritten from there. Should that step be cut short, ``staging`` still holds all rows.
-    """
-    spark = merged.sparkSession
-    merged.write.mode("overwrite").parquet(staging)
-    replace_from_staging(spark.read.schema(merged.schema).parquet(staging), path, column, cluster)
-
-
 def replace_from_staging(staged: DataFrame, path: str, column: str, cluster: Sequence[str]) -> None:
-    (
-        staged.repartitionByRange(column, *cluster)
-        .sortWithinPartitions(column, *cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    """Overwrite the partitions present in ``staged``."""
+    _clustered(staged, column, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        column
+    ).parquet(path)
 
 
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, schema: StructType, staging: str, keys: Sequence[str],
-    keep: Sequence[str], partition: str, order: Sequence[str] = ("_extracted_at", "id"),
+    keep: Sequence[str], partition: str, order: Sequence[str] = ("_extracted_at", "id"), day_of: str | None = None,
 ) -> DataFrame:
-    """Upsert into a table partitioned by the key column ``partition``, rewriting only touched partitions."""
-    if partition not in keys:
+    """Upsert into a table with a folder per day, rewriting only the days of the batch.
+
+    ``partition`` is one of the keys, or the day of the key ``day_of``. A batch row without one of the keys is an error
+    and nothing is written. All rows of the touched days are written to ``staging`` first. A run that was cut short while it
+    replaced folders is finished from there by the next one, which then merges its own batch.
+    """
+    if day_of is None and partition not in keys:
         raise ValueError("the partition column must be one of the keys")
-    table = read_if_present(spark, path, schema)
-    old = spark.createDataFrame([], schema) if table is None else table
-    touched = old.filter(F.col(partition).isin(touched_partitions(batch, partition)))
-    merged = upsert(touched, batch.select(schema.fieldNames()), keys, keep, order)
-    rewrite_partitions(merged, path, staging, partition, [k for k in keys if k != partition])
-    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+    stored = schema if day_of is None else StructType([*schema.fields, StructField(partition, DateType())])
+    _require_dates(stored, partition)
+    cluster = [k for k in keys if k != partition]
+    files, folder = _file_system(spark, staging)
+    if files.exists(_file_system(spark, f"{staging}/_SUCCESS")[1]):
+        replace_from_staging(spark.read.schema(stored).parquet(staging), path, partition, cluster)
+    if not batch.filter(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
+        raise ValueError(f"the batch has rows without one of its keys {list(keys)}")
+    fresh = _as_declared(batch, schema)
+    fresh = fresh if day_of is None else fresh.withColumn(partition, F.to_date(day_of))
+    table = read_if_present(spark, path, stored)
+    old = spark.createDataFrame([], stored) if table is None else table
+    touched = old.filter(F.col(partition).isin(touched_partitions(fresh, partition)))
+    upsert(touched, fresh, keys, keep, order).write.mode("overwrite").parquet(staging)
+    replace_from_staging(spark.read.schema(stored).parquet(staging), path, partition, cluster)
+    files.delete(folder, True)
+    return spark.read.schema(stored).parquet(path).select(schema.fieldNames())
 
 
-def _write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
-    """One folder per partition value, each file sorted by ``cluster``.
+def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition value, each task sorted by ``cluster``.
 
-    The range split runs over partition and cluster columns together, so a hot month or a hot
-    location is cut into several files, and each file covers a narrow key range.
+    The rebalance splits a hot month or day over several tasks and files, by the sizes the exchange measured:
+    unlike a range split it does not sample its input, so what computes ``df`` runs once.
     """
-    (
-        df.repartitionByRange(partition, *cluster)
-        .sortWithinPartitions(partition, *cluster)
-        .write.mode("overwrite")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
+
+
+def _write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
+    """One folder per partition value."""
+    _clustered(df, partition, cluster).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def write_daily_facts(df: DataFrame, path: str) -> None:

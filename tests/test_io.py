@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio import schemas
+from pluvio.operators import filters as fl, joins, reports as rp
 from pluvio.operators.staging import dedup_latest
 from pluvio.plans.layers import build_marts, register_layers
 from pluvio.session import work_dir
@@ -52,6 +53,18 @@ def test_flatten_short_absent_and_malformed(spark):
     assert got[1].sunrise == dt.datetime(2024, 1, 2, 5, 31) and got[0].latitude == -27.5
 
 
+def test_elements_are_converted_one_by_one_and_rejects_are_kept(spark, rows):
+    sent = json.dumps({"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00", "2024-01-01T02:00", "2024-01-01T03:00"],
+                                  "relative_humidity_2m": [55.0, 60, 1.5, "x"], "temperature_2m": ["y", 2, None, {"z": 1}]}})
+    df = spark.createDataFrame(
+        [("a", sent, NOON), ("b", "{broken", NOON), ("c", None, NOON), ("d", '{"hourly": {"time": []}}', NOON), ("e", "{}", NOON)],
+        "location_id string, payload string, _extracted_at timestamp")
+    got = payloads.flatten_hourly(df).orderBy("timestamp").collect()
+    assert [(r.relative_humidity_2m, r.temperature_2m) for r in got] == [(55, None), (60, 2.0), (None, None), (None, None)]
+    assert rows(payloads.rejects(df, "hourly"), "location_id", "reason") == [
+        ("b", "malformed"), ("c", "malformed"), ("d", "no_times"), ("e", "no_times")]
+
+
 def test_pack_then_flatten_gives_the_rows_back(spark, rows):
     raw = hourly(spark, *[{"timestamp": later(hours=h), "temperature_2m": float(h), "weather_code": h} for h in range(30)])
     packed = payloads.pack_hourly(raw)
@@ -140,10 +153,109 @@ def test_reload_of_a_stored_table(spark, rows):
 
     reload(daily(spark, *[{"id": k, "date": d} for k, d in enumerate(days)]), days[0], days[4])
     outside = {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
-    batch = daily(spark, {"id": 99, "date": days[1]}, {"id": 77, "date": days[4]})
-    got = rows(reload(batch, days[1], days[2]), "id")  # day 2 has no new row, day 4 is outside the window
-    assert got == [(0,), (3,), (4,), (77,), (99,)]
+    batch = daily(spark, {"id": 99, "date": days[1]})
+    for _ in range(2):  # day 2 has no new row
+        assert rows(reload(batch, days[1], days[2]), "id") == [(0,), (3,), (4,), (99,)]
     assert outside == {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
+    for wrong in (days[4], None):
+        with pytest.raises(ValueError):
+            reload(daily(spark, {"id": 77, "date": wrong}), days[1], days[2])
+    assert rows(spark.read.parquet(path), "id") == [(0,), (3,), (4,), (99,)]
+    table = sinks.reload_table(spark, path, batch, schemas.RAW_DAILY, days[1], unbounded=True)
+    assert rows(table, "id") == [(0,), (99,)]
+
+
+def test_upsert_cut_short_is_finished_by_the_next_run(spark, rows, monkeypatch):
+    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    tomorrow = DAY + dt.timedelta(days=1)
+
+    def load(batch):
+        return sinks.upsert_table(spark, path, batch, schemas.RAW_DAILY, staging, KEYS, KEEP, "date")
+
+    load(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}))
+    whole = sinks.replace_from_staging
+
+    def cut_short(staged, where, column, cluster):
+        whole(staged.limit(0), where, column, cluster)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/date={DAY}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "replace_from_staging", cut_short)
+        with pytest.raises(RuntimeError):
+            load(daily(spark, {"id": 3, "location_id": "b"}))
+    assert rows(spark.read.schema(schemas.RAW_DAILY).parquet(path), "id") == [(2,)]  # a day is gone
+    table = load(daily(spark, {"id": 4, "location_id": "c", "date": tomorrow}))
+    assert rows(table, "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_upsert_refuses_rows_without_a_key(spark, rows):
+    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    with pytest.raises(ValueError):
+        sinks.upsert_table(spark, path, daily(spark, {"id": 1, "date": None}), schemas.RAW_DAILY, staging, KEYS, KEEP, "date")
+
+
+def test_upsert_by_the_day_of_a_key(spark, rows):
+    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    keys, keep = ["location_id", "timestamp"], ["id"]
+    for batch in (hourly(spark, {"id": 1}, {"id": 2, "timestamp": later(days=1)}), hourly(spark, {"id": 3, "temperature_2m": 4.0})):
+        table = sinks.upsert_table(spark, path, batch, schemas.RAW_HOURLY, staging, keys, keep, "day", day_of="timestamp")
+    assert rows(table, "id", "temperature_2m") == [(1, 4.0), (2, None)]
+
+
+def test_marts_are_written_in_one_evaluation(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for frame in batches:
+            seen.add(len(frame))
+            yield frame
+
+    raw = daily(spark, *[{"id": k, "date": DAY + dt.timedelta(days=k)} for k in range(90)])
+    facts = spark.createDataFrame(raw.select("location_id", "date").collect(), "location_id string, date date")
+    facts = facts.mapInPandas(counted, facts.schema).withColumn("year_month", F.date_format("date", "yyyy-MM"))
+    sinks.write_daily_facts(facts, work_dir(spark, "facts"))
+    assert seen.value == 90
+
+
+def test_a_hot_month_is_split_over_files(spark):
+    path, setting = work_dir(spark, "hot"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "64k")
+    try:
+        rows = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("location_id"), F.lit(DAY).alias("date"),
+                                          F.lit("2024-01").alias("year_month"))
+        sinks.write_daily_facts(rows, path)
+    finally:
+        spark.conf.unset(setting)
+    assert len(spark.read.parquet(path).inputFiles()) >= 4  # a piece per map task at most
+
+
+CITY_QUERIES = {
+    "hourly_temp_humidity": lambda m: fl.hourly_series(m.hourly, "City a", ["temperature_c"], 7, m.coverage),
+    "hourly_wind_rain": lambda m: fl.hourly_series(m.hourly, "City a", ["wind_speed_kmh"], 7, m.coverage),
+    "profile_24h": lambda m: rp.profile_24h(m.hourly, "City a", coverage=m.coverage),
+    "day_profile": lambda m: rp.day_profile(m.hourly, "City a", coverage=m.coverage),
+    "history_profile": lambda m: rp.history_profile(m.hourly, "City a", coverage=m.coverage),
+    "join_hour_profiles": lambda m: joins.profile_diff(
+        rp.day_profile(m.hourly, "City a", coverage=m.coverage), rp.history_profile(m.hourly, "City a", coverage=m.coverage)),
+    "hourly_cities": lambda m: fl.hourly_cities(m.coverage),
+    "available_dates": lambda m: fl.available_dates(m.coverage, "City a"),
+    "hourly_max_date": lambda m: fl.max_date(m.coverage, "City a"),
+}
+
+
+def test_city_queries_prune_the_hourly_mart(spark, plan):
+    marts = build_marts(spark, daily(spark, {}), hourly(spark, {}, {"id": 2, "timestamp": later(days=1)}), locations(spark, "a"),
+                        work_dir(spark, "marts"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plans = {name: plan(query(marts)).splitlines() for name, query in CITY_QUERIES.items()}
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for name, query in CITY_QUERIES.items():
+        scans = [line for line in plans[name] if "FileScan" in line and "/hourly_facts" in line]
+        assert all("(date" in s.split("PartitionFilters: [")[1].split("PushedFilters")[0] for s in scans), name
+        assert bool(scans) == (name not in ("hourly_cities", "available_dates", "hourly_max_date"))
+        assert query(marts).count() >= 1 or name == "history_profile"
 
 
 def test_append_and_truncate(spark, rows):
@@ -172,6 +284,8 @@ def test_layers_are_registered(spark):
     assert {name: spark.table(name).count() for name in layers} == {
         "stg_daily": 1, "stg_hourly": 1, "int_daily": 1, "layers_test.daily_facts": 1, "layers_test.hourly_facts": 1,
         "layers_test.alerts": 0, "layers_test.locations": 1, "layers_test.dim_datas": 2557}
+    with pytest.raises(ValueError):
+        register_layers(spark, daily(spark, {}), hourly(spark, {}), locations(spark, "a"), work_dir(spark, "layers"), database="layers_test")
 
 
 def test_stream_equals_batch_and_replays_are_harmless(spark, rows):

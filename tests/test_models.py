@@ -126,7 +126,7 @@ def facts(spark, *readings):
 def test_last_n_days_spans_n_plus_one_dates(spark):
     df = facts(spark, *[("a", d, {}) for d in days(40)])
     assert fl.last_n_days(df, 7).count() == 8
-    assert fl.last_n_days(df, 7, "2024-01-20").count() == 40 - 12  # 12 dates lie before January 13; later dates stay
+    assert fl.last_n_days(df, 7, "2024-01-20").count() == 8  # later dates are out
 
 
 def test_city_filter_takes_any_name(spark):
@@ -139,8 +139,11 @@ def test_compare_cities_guards_its_arguments(spark):
     assert fl.compare_cities(df, ["City a"], "temp_max_c", 5).first().valor == 1.3
     with pytest.raises(ValueError):
         fl.compare_cities(df, ["City a"], "location_id", 5)
+    assert fl.compare_cities(df, ["City a", *"bcde"], "temp_max_c", 5).count() == 1
     with pytest.raises(ValueError):
-        fl.compare_cities(df, list("abcd"), "temp_max_c", 5)
+        fl.compare_cities(df, list("abcd"), "temp_max_c", 5, most=3)
+    with pytest.raises(ValueError):
+        fl.compare_cities(df, [], "temp_max_c", 5)
 
 
 def test_date_gaps_filter_before_lag(spark, rows):
@@ -247,25 +250,33 @@ def test_calendar_default_span(spark):
     assert models.dim_dates(spark).count() == 2557
 
 
-def test_colocated_readings_share_one_exchange(spark, rows, plan):
-    from pluvio.operators.staging import colocated
+def test_a_measured_seed_is_broadcast_to_the_readings(spark, plan):
+    text = plan(models.enrich(stg_daily(raw_rows(spark, {"id": 1})), location_rows(spark, "a", "b")))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
 
-    raw = raw_rows(spark, *[{"id": k, "location_id": "ab"[k % 2], "date": d, "temperature_2m_max": float(k),
-                             "temperature_2m_min": 0.0} for k, d in enumerate(days(40) * 2)])
-    loc = location_rows(spark, "a", "b")
+def test_a_mesoregion_lists_all_its_cities(spark):
+    names = schemas.DAILY_FACTS.fieldNames()
+    facts = [tuple((dict.fromkeys(names) | {"city_name": f"c{k:03d}", "mesoregion": "M", "date": DAY, "precipitation_mm": 1.0,
+                                            "year_month": DAY.strftime("%Y-%m")})[n] for n in names) for k in range(350)]
+    df = spark.createDataFrame(facts, schemas.DAILY_FACTS)
+    assert rp.rainiest(df, meso="M").count() == 350 and rp.rainiest(df).count() == 20 and rp.rainiest(df, k=None).count() == 350
+    kinds = schemas.ALERTS.fieldNames()
+    rows = [tuple((dict.fromkeys(kinds) | {"city_name": f"c{k:03d}", "mesoregion": "M", "date": DAY,
+                                           "year_month": DAY.strftime("%Y-%m")})[n] for n in kinds) for k in range(350)]
+    df = spark.createDataFrame(rows, schemas.ALERTS)
+    assert rp.alerts_by_city(df, meso="M").count() == 350 and rp.alerts_by_city(df).count() == 15
 
-    def chain(readings):
-        return models.int_daily(stg_daily(readings), loc).drop("_loaded_at")
 
-    together, apart = chain(colocated(raw, limit=40)), chain(colocated(raw, limit=39))
-    assert rows(together) == rows(apart)
+def test_sums_beyond_a_trillion(spark):
+    df = spark.createDataFrame([("2024-01-05", 1.0, 9.0e11), ("2024-01-06", 1.0, 9.0e11)], "d string, temp_avg_c double, precipitation_mm double")
+    dim = models.dim_dates(spark, "2024-01-01", "2024-01-31")
+    assert joins.by_season(df.withColumn("date", F.col("d").cast("date")), dim).first().total_mm == 1.8e12
 
-    def exchanges(df):
-        readings = plan(df).split("LogicalRDD")[0]
-        return sum("Exchange hashpartitioning(location_id" in line and "city_name" not in line
-                   for line in readings.splitlines())
 
-    assert exchanges(together) < exchanges(apart)
+def test_as_of_is_an_upper_bound(spark):
+    df = spark.createDataFrame([(DAY + dt.timedelta(days=k),) for k in range(10)], "date date")
+    assert fl.last_n_days(df, 3, DAY + dt.timedelta(days=5)).count() == 4
 
 
 def test_shuffles_are_sized_by_the_input(spark):
@@ -278,6 +289,8 @@ def test_shuffles_are_sized_by_the_input(spark):
         configure(spark, 100 * 64 * 1024 * 1024)
         assert spark.conf.get(setting) == "100"
         configure(spark, 100 * 10**12)
-        assert spark.conf.get(setting) == "50000"
+        assert spark.conf.get(setting) == "1490117"  # a partition per 64 MiB, however many
+        configure(spark, 100 * 10**12, partition_bytes=10**9)
+        assert spark.conf.get(setting) == "100000"
     finally:
         spark.conf.unset(setting)

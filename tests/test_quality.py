@@ -96,3 +96,47 @@ def test_completeness(spark, rows):
     assert rows(audit.incomplete(raw, audit.fullest(raw))) == [("a", 5, 1), ("b", 3, 3)]
     assert rows(audit.incomplete_since(raw, "2024-01-01", "2024-01-06")) == [("b", 3, 5, 2)]
     assert audit.distinct_locations(raw).first()[0] == 3
+
+
+def test_summary_counts_raw_and_staged_rows_in_one_scan(spark, plan):
+    from pluvio import schemas
+    from pluvio.operators.staging import daily_columns
+
+    names = schemas.RAW_DAILY.fieldNames()
+
+    def row(**values):
+        return tuple((dict.fromkeys(names) | {"location_id": "a", "date": dt.date(2024, 1, 1), "_extracted_at": NOW, "id": 1} | values)[n] for n in names)
+
+    raw = spark.createDataFrame([
+        row(temperature_2m_max=99.0), row(id=2, temperature_2m_max=5.0, uv_index_max=30.0), row(date=None, uv_index_max=30.0),
+        row(location_id="b", _extracted_at=NOW - dt.timedelta(hours=3)),
+    ], schemas.RAW_DAILY)
+    raw_checks = [c for c in dq.CHECKS if c.table == "raw_daily"]
+    staged = [c for c in dq.CHECKS if c.table == "stg_daily"]
+    summary = dq.load_summary(raw, ["location_id", "date"], daily_columns(), raw_checks, staged)
+    assert plan(summary).count("Scan ") == 1
+    counted = {r["check"]: r["failures"] for p, c in (("_raw", raw_checks), ("_stg", staged)) for r in dq._summed(summary, c, p).collect()}
+    # The row without a date is not staged, and of the repeats only the newest is.
+    assert counted["raw_daily.temperature_2m_max.accepted_range"] == 1 and counted["raw_daily.date.not_null"] == 1
+    assert counted["raw_daily.uv_index_max.accepted_range"] == 2 and counted["stg_daily.uv_index_max.accepted_range"] == 1
+    assert counted["stg_daily.temp_max_c.not_null"] == 1
+    by = {r.location_id: r for r in summary.collect()}
+    assert by["a"]._extracted_at == NOW and by["b"]._extracted_at == NOW - dt.timedelta(hours=3)
+
+
+def test_stored_failures_hold_the_singular_checks(spark, tmp_path):
+    from pluvio import schemas
+
+    names = schemas.DAILY_FACTS.fieldNames()
+    day = dt.date(2024, 1, 1)
+    fact = tuple((dict.fromkeys(names) | {"location_id": "l0", "date": day, "temp_min_c": 9.0, "temp_max_c": 1.0, "year_month": "2024-01"})[n] for n in names)
+    alert = tuple((dict.fromkeys(schemas.ALERTS.fieldNames()) | {"location_id": "x", "date": day, "year_month": "2024-01"})[n]
+                  for n in schemas.ALERTS.fieldNames())
+    tables = {
+        "daily_facts": spark.createDataFrame([fact], schemas.DAILY_FACTS), "alerts": spark.createDataFrame([alert], schemas.ALERTS),
+        "locations": spark.createDataFrame([("l0",)], "location_id string"), "raw_daily": loads(spark, 100),
+    }
+    checks = [dq.Check("daily_facts", "location_id", "not_null")]
+    dq.store_failures(tables, str(tmp_path / "failures"), checks, now=F.lit(NOW), as_of=day)
+    stored = spark.read.parquet(str(tmp_path / "failures"))
+    assert {r["check"] for r in stored.collect()} == {"temp_min_less_than_max", "alerts_have_valid_location", "raw_data_freshness"}
