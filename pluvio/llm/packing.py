@@ -18,6 +18,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -31,49 +33,95 @@ END_TOKEN = 1
 # Sequences of a step group.
 STEP_SEQUENCES = 64
 # Words whose ids a worker remembers, and the longest such word.
-MEMORY_WORDS, MEMORY_CHARS = 400_000, 48
+MEMORY_WORDS, MEMORY_CHARS = 900_000, 48
 _WORDS = re.compile(WORD)
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# Characters of texts whose new words are encoded together.
+LEARN_CHARS = 1 << 18
 _worker: dict[str, tuple] = {}
 
 
 class WordTokenizer:
-    """Token ids of texts, for tokenizers that drop white space: the ids of a text are those of its words, and most words recur."""
+    """Token ids of texts, for tokenizers that drop white space: the ids of a text are those of its words, and most words recur.
+
+    Words of letters, without the marks after them, are encoded many to a call and told apart by the
+    vocabulary's word ends; the marks are a token run of their own. All other words are encoded one by one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def _alone(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def words(self, text: str) -> list[str]:
+        # The tokenizer lower-cases too, letter by letter; two letters depend on what follows or become two.
+        if "\u0130" not in text and "\u03a3" not in text:
+            text = text.lower()
         # split() takes four control characters for white space that the tokenizer does not.
         return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            coded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            bounds = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
+        tails, bare, alone = self.tails, self.bare, []
+        plain, marked = [], []
+        for word in words:
+            if word.isalpha():
+                plain.append(word)
+                continue
+            letters = word.rstrip(punctuation)
+            if letters.isalpha():
+                marked.append((word, letters, word[len(letters) :]))
+            else:
+                alone.append(word)
+        new = list({tail for _, _, tail in marked}.difference(tails))
+        tails.update(zip(new, self._alone(new)))
+        fresh = list({*plain, *[letters for _, letters, _ in marked]}.difference(bare))
+        for at in range(0, len(fresh), 4000):
+            part = fresh[at : at + 4000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            bounds = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
             data = ids.tobytes()
-            for i, word in enumerate(part):
-                self.known[word] = data[4 * bounds[i] : 4 * bounds[i + 1]]
+            found = [data[4 * i : 4 * j] for i, j in zip(bounds, bounds[1:])]
+            bare.update(zip(part, found if len(found) == len(part) else self._alone(part)))
+        known = self.known
+        for word in plain:
+            known[word] = bare[word]
+        for word, letters, tail in marked:
+            known[word] = bare[letters] + tails[tail]
+        known.update(zip(alone, self._alone(alone)))
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
+        group: list[list[str]] = []
+        size = 0
         for text in texts:
-            words = self.words(text or "")
-            fresh = [w for w in dict.fromkeys(words) if w not in self.known]
-            if len(self.known) + len(fresh) > MEMORY_WORDS:
-                self.known.clear()
-                fresh = list(dict.fromkeys(words))
-            self._learn(fresh)
+            group.append(self.words(text or ""))
+            size += len(text or "")
+            if size > LEARN_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[list[str]]) -> Iterator[bytes]:
+        if len(self.known) > MEMORY_WORDS:
+            for memory in (self.known, self.bare, self.tails):
+                memory.clear()
+        fresh = list(set(chain.from_iterable(group)).difference(self.known))
+        self._learn(fresh)
+        for words in group:
             yield b"".join(map(self.known.__getitem__, words))
-            if len(self.known) > MEMORY_WORDS or any(len(w) > MEMORY_CHARS for w in fresh):
-                for w in fresh:
-                    if len(w) > MEMORY_CHARS or len(self.known) > MEMORY_WORDS:
-                        self.known.pop(w, None)
+        for memory in (self.known, self.bare, self.tails):
+            for word in [w for w in fresh if len(w) > MEMORY_CHARS]:
+                for part in (word, word.rstrip(punctuation), word[len(word.rstrip(punctuation)) :]):
+                    memory.pop(part, None)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
