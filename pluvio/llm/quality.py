@@ -71,8 +71,8 @@ def measure(texts: list[str | None]) -> np.ndarray:
         before = np.concatenate([[True], white[:-1]])
         starts, ends = np.flatnonzero(~white & before), np.flatnonzero(white & ~before)
         up, down = _power_tables(len(data))
-        total = _sums(_BYTE[data] * up) if len(data) else np.zeros(1, np.uint64)
-        total = total.astype(np.uint64)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[data] * up, out=total[1:])
         hashes = mix((total[ends] - total[starts]) * down[starts])
         byte_sums = [_sums(t[data]) for t in (_UPPER, _DIGIT, _MARK, _OTHER, _END)] + [_sums(data > 127), _sums(data == 10)]
         upper, digit, mark, other, end, wide, line = byte_sums

@@ -150,11 +150,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
                 once = np.append(True, (np.diff(hashes) != 0) | (np.diff(where) != 0)) if len(hashes) else np.empty(0, bool)
                 hashes, bounds = hashes[once], np.searchsorted(where[once], np.arange(number + 1))
                 rows = [hashes[a:b].view(np.int64).tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pd.DataFrame({"toxic": frame["toxic"].iloc[first : first + number].to_numpy(), "features": rows})
+                part = frame.iloc[first : first + number]
+                yield pd.DataFrame({"toxic": part["toxic"].to_numpy(), "same": part["same"].to_numpy(), "features": rows})
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text", F.xxhash64("text").alias("same"))
     # A text that was copied often is one example.
-    sample = stored(texts.mapInPandas(found, "toxic int, features array<long>").dropDuplicates(["toxic", "features"]), "toxic-features")
+    sample = texts.mapInPandas(found, "toxic int, same long, features array<long>").dropDuplicates(["toxic", "same"])
+    sample = stored(sample, "toxic-features")
     totals = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1):
         return Model(np.empty(0, np.uint64), np.empty(0), -30.0)
