@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pluvio import schemas
-from pluvio.config import Thresholds
-from pluvio.operators.filters import latest_date
+from pluvio.config import ROLLING_ROWS, Thresholds
+from pluvio.functions.calendar import year_month
+from pluvio.operators.filters import as_date, latest_date
 from pluvio.operators.staging import stg_daily, stg_hourly
 from pluvio.plans.models import climate_alerts, daily_facts, dim_dates, hourly_facts, int_daily
 from pluvio.sources.scans import read_mart
-from pluvio.sources.sinks import write_daily_facts, write_hourly_facts
+from pluvio.sources.sinks import (
+    drop_partitions, finish_replacing, replace_partitions, write_daily_facts, write_hourly_facts,
+)
 
 
 @dataclass(frozen=True)
@@ -50,6 +53,39 @@ def build_marts(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame
     return open_marts(spark, root)
 
 
+def refresh_daily(spark: SparkSession, raw_daily: DataFrame, loc: DataFrame, root: str, since,
+                  thresholds: Thresholds = Thresholds()) -> Marts:
+    """Daily facts and alerts of ``[since, ...)`` computed again, for readings that were added or corrected there.
+
+    The rolling means start from each location's last rows before ``since``, taken from the stored facts; of the
+    raw table only ``[since, ...)`` is read, and only months from that of ``since`` on are rewritten. A refresh that
+    was cut short is finished by the next one.
+    """
+    path, staging = f"{root}/daily_facts", f"{root}/daily_facts-staging"
+    cluster = ["location_id", "date"]
+    finish_replacing(spark, path, staging, schemas.DAILY_FACTS, "year_month", cluster)
+    first = as_date(since)
+    month = year_month(first)
+    stored = read_mart(spark, path, schemas.DAILY_FACTS)
+    fresh = stg_daily(raw_daily.filter(F.col("date") >= first))
+    newest = Window.partitionBy("location_id").orderBy(F.desc("date"))
+    before = stored.filter((F.col("date") < first) & (F.col("year_month") <= month)).select(fresh.columns)
+    before = before.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") < ROLLING_ROWS).drop("_rank")
+    facts = daily_facts(int_daily(before.unionByName(fresh), loc).filter(F.col("date") >= first))
+    same_month = stored.filter((F.col("year_month") == month) & (F.col("date") < first))
+    replace_partitions(facts.unionByName(same_month), path, staging, schemas.DAILY_FACTS, "year_month", cluster)
+    spark.range(1).select(latest_date(read_mart(spark, path, schemas.DAILY_FACTS)).alias("date")).write.mode("overwrite").parquet(f"{root}/newest")
+
+    later = read_mart(spark, path, schemas.DAILY_FACTS).filter(F.col("year_month") >= month)
+    alerts = climate_alerts(later, thresholds)
+    # Months left without any alert; at most one name a month comes to the driver.
+    old = read_mart(spark, f"{root}/alerts", schemas.ALERTS).filter(F.col("year_month") >= month)
+    emptied = [r[0] for r in old.select("year_month").distinct().join(alerts.select("year_month").distinct(), "year_month", "left_anti").collect()]
+    replace_partitions(alerts, f"{root}/alerts", f"{root}/alerts-staging", schemas.ALERTS, "year_month", cluster)
+    drop_partitions(spark, f"{root}/alerts", "year_month", sorted(emptied))
+    return open_marts(spark, root)
+
+
 def register_layers(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
                     database: str, start="2024-01-01", end="2030-12-31") -> dict[str, str]:
     """Register staging and intermediate models as temp views, marts and seed as tables stored under ``root``.

@@ -13,7 +13,7 @@ from pluvio.operators import audit, filters as fl, joins, quality as dq, reports
 from pluvio.operators.rolling import rolling_avg
 from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourly
 from pluvio.plans import models
-from pluvio.plans.layers import Marts, build_marts, open_marts, register_layers
+from pluvio.plans.layers import Marts, build_marts, open_marts, refresh_daily, register_layers
 from pluvio.session import configure, stored_state, work_dir
 from pluvio.sources import driver_tables, payloads, scans, sinks
 from pluvio.streaming.ingest import stream_ingest
@@ -22,6 +22,7 @@ CITY = "Supplier#000000000"
 CITIES = ["Supplier#000000000", "Supplier#000000001", "Supplier#000000002"]
 MESO = "ASIA"
 RELOAD = ("2000-01-01", "2000-03-31")
+REFRESH_FROM = "2000-01-15"
 INCREMENT_FROM = "2000-01-01 00:00:00"
 KEEP_DAILY = ["id", "latitude", "longitude"]
 KEEP_HOURLY = ["id", "latitude", "longitude", "elevation", "timezone"]
@@ -260,6 +261,15 @@ def _write_hourly(i: Inputs) -> DataFrame:
     return scans.read_mart(i.spark, path, schemas.HOURLY_FACTS).drop(*WALL_CLOCK)
 
 
+def _refresh(i: Inputs, mart: str) -> DataFrame:
+    """Marts of the readings before a day, then that day and all later ones added, twice."""
+    root = work_dir(i.spark, "refresh")
+    build_marts(i.spark, i.raw_daily.filter(F.col("date") < F.lit(REFRESH_FROM).cast("date")), i.raw_hourly, i.locations, root)
+    for _ in range(2):
+        marts = refresh_daily(i.spark, i.raw_daily, i.locations, root, REFRESH_FROM)
+    return getattr(marts, mart).drop(*WALL_CLOCK)
+
+
 def _register_layers(i: Inputs) -> DataFrame:
     root = work_dir(i.spark, "layers")
     layers = register_layers(i.spark, i.raw_daily, i.raw_hourly, i.locations, root, root.split("/")[-1].replace("-", "_"),
@@ -354,6 +364,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "skip_existing_locations": _pending,
     "write_daily_facts": _write_daily,
     "write_hourly_facts": _write_hourly,
+    "refresh_daily_facts": lambda i: _refresh(i, "daily"),
+    "refresh_alerts": lambda i: _refresh(i, "alerts"),
     "register_layers": _register_layers,
     # projections and filters
     "stg_daily": lambda i: i.stg_daily.drop(*WALL_CLOCK),

@@ -101,9 +101,7 @@ def reload_table(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     old_days = set() if table is None else set(touched_partitions(table.filter(inside), column))
     emptied = old_days - set(touched_partitions(fresh, column))
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    for day in emptied:
-        files, folder = _file_system(spark, f"{path}/{column}={day}")
-        files.delete(folder, True)
+    drop_partitions(spark, path, column, sorted(emptied))
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
@@ -119,6 +117,26 @@ def replace_from_staging(staged: DataFrame, path: str, column: str, cluster: Seq
     ).parquet(path)
 
 
+def finish_replacing(spark: SparkSession, path: str, staging: str, schema: StructType, column: str, cluster: Sequence[str]) -> None:
+    """If ``staging`` is complete, a run was cut short while it replaced folders: replace them from there and drop it."""
+    files, folder = _file_system(spark, staging)
+    if files.exists(_file_system(spark, f"{staging}/_SUCCESS")[1]):
+        replace_from_staging(spark.read.schema(schema).parquet(staging), path, column, cluster)
+        files.delete(folder, True)
+
+
+def replace_partitions(rows: DataFrame, path: str, staging: str, schema: StructType, column: str, cluster: Sequence[str]) -> None:
+    """Overwrite the partitions present in ``rows``, which may read ``path``: by way of a complete copy in ``staging``."""
+    _as_declared(rows, schema).write.mode("overwrite").parquet(staging)
+    finish_replacing(rows.sparkSession, path, staging, schema, column, cluster)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    for value in values:
+        files, folder = _file_system(spark, f"{path}/{column}={value}")
+        files.delete(folder, True)
+
+
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, schema: StructType, staging: str, keys: Sequence[str],
     keep: Sequence[str], partition: str, order: Sequence[str] = ("_extracted_at", "id"), day_of: str | None = None,
@@ -134,9 +152,7 @@ def upsert_table(
     stored = schema if day_of is None else StructType([*schema.fields, StructField(partition, DateType())])
     _require_dates(stored, partition)
     cluster = [k for k in keys if k != partition]
-    files, folder = _file_system(spark, staging)
-    if files.exists(_file_system(spark, f"{staging}/_SUCCESS")[1]):
-        replace_from_staging(spark.read.schema(stored).parquet(staging), path, partition, cluster)
+    finish_replacing(spark, path, staging, stored, partition, cluster)
     if not batch.filter(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
         raise ValueError(f"the batch has rows without one of its keys {list(keys)}")
     fresh = _as_declared(batch, schema)
@@ -144,9 +160,7 @@ def upsert_table(
     table = read_if_present(spark, path, stored)
     old = spark.createDataFrame([], stored) if table is None else table
     touched = old.filter(F.col(partition).isin(touched_partitions(fresh, partition)))
-    upsert(touched, fresh, keys, keep, order).write.mode("overwrite").parquet(staging)
-    replace_from_staging(spark.read.schema(stored).parquet(staging), path, partition, cluster)
-    files.delete(folder, True)
+    replace_partitions(upsert(touched, fresh, keys, keep, order), path, staging, stored, partition, cluster)
     return spark.read.schema(stored).parquet(path).select(schema.fieldNames())
 
 
