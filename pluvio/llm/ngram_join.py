@@ -8,17 +8,19 @@ follows from the set sizes leaves a chance of reaching the threshold:
    q = n - ceil(t n) + 1. Only these columns enter the first product. Its blocks count in how many sets a
    column occurs; a document with k or fewer columns that occur elsewhere reaches no partner and is done.
 2. What is left is counted over whole sets. In order of frequency, rare first, a pair shares one of the
-   first q columns: frequent passages fall behind that bound, and a document left with none is done.
-3. Columns propose pairs. Instead of all pairs of a column, each document is first held against one
-   document of the column (the one with which its columns agree most often); pairs above the threshold link
-   their groups, and columns inside one group propose nothing any more. What is left after some turns is
-   proposed in full across groups, so no link between groups is lost.
+   first q columns: frequent passages fall behind that bound, and a document left with none is done. So is
+   one whose shared columns, all together, are too few for the smallest set it meets in a column.
+3. Columns propose pairs. Instead of all pairs of a column, each document is first held against one: the most
+   typical one (fewest columns of its own) of the columns that agree most often. Pairs above the threshold link their
+   groups, and columns inside one group propose nothing any more. A document x that is not linked with its hub h
+   shares o columns with it; a partner y for which more than o are needed must share some of x's columns
+   outside h, so x meets these y in those few columns only, and their overlaps there are counted against the
+   bound. Smaller partners, and groups that meet in a column, are proposed in full across groups. No link between groups is lost.
 4. A proposed pair is decided by the overlap of the whole sets: a link if 100 * intersection >= 75 * union.
 
 Equal sets are one class, held once; copies are never expanded into pairs. Hot columns are combined
-before every exchange. A null or empty text has no shingles and no links; rows of a null id get their
-group like others, with the smallest id of the group that is not null. Columns besides doc_id and text
-are passed over.
+before every exchange. A null or empty text has no shingles and no links. Rows of a null id are counted but
+linked with nothing; their group is null. Columns besides doc_id and text are passed over.
 """
 
 from __future__ import annotations
@@ -29,19 +31,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pluvio.llm.common import stored
 from pluvio.llm.components import components
 from pluvio.llm.words import mix, shingle_sets
+from pluvio.operators.joins import small_side
 
 # Similarity of a link, in hundredths.
 THRESHOLD = 75
 # Rows of a batch, which sends each of its columns to a block once, and columns a block should hold.
 BATCH_ROWS = 4096
 BLOCK_COLUMNS = 1 << 20
-# Turns in which a document is held against one other of each column, before the rest is proposed in full.
-HUB_TURNS = 3
 
 
 def least_overlap(n, threshold: int = THRESHOLD):
@@ -49,6 +50,15 @@ def least_overlap(n, threshold: int = THRESHOLD):
     return -(-n * threshold // 100)
 
 
+def needed(a, b, threshold: int = THRESHOLD):
+    """The overlap that sets of these sizes need; for numbers and for SQL texts alike in ``_needed``."""
+    return -(-threshold * (a + b) // (100 + threshold))
+
+
+def _needed(a: str, b: str, threshold: int) -> str:
+    return f"(({threshold} * ({a} + {b}) + {99 + threshold}) div {100 + threshold})"
+
+
 def first_columns(n, threshold: int = THRESHOLD):
     """q: so many columns of a set of n hold at least one of any partner's overlap."""
     return n - least_overlap(n, threshold) + 1
@@ -169,101 +179,171 @@ def reachable(table: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         smallest = spare_columns(least_overlap(row.n, threshold), threshold)
         return (row.doc_id, row.cls, row.n) if (counts > 1).sum() > smallest else None
 
+    table = table.filter("doc_id is not null")
     total = table.agg(F.sum(F.length("columns") / 6)).first()[0] or 0
     found = _with_frequencies(table, 6, total, decide, "doc_id long, cls string, n long")
     return found.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
 
 
 def postings(table: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(column, cls, n) for the first columns, rare first, that other sets have too (step 2)."""
+    """(column, cls, n, shared) for the first columns, rare first, that other sets have too (step 2).
+
+    ``shared`` is how many columns of the set occur elsewhere: no overlap is larger.
+    """
 
     def decide(row, values, counts):
         rare = np.lexsort((values, counts))[: first_columns(row.n, threshold)]
-        kept = values[rare[counts[rare] > 1]].view(np.int64)
-        return (row.cls, row.n, kept.tolist()) if len(kept) else None
+        kept, shared = values[rare[counts[rare] > 1]].view(np.int64), int((counts > 1).sum())
+        return (row.cls, row.n, shared, kept.tolist()) if len(kept) and shared >= least_overlap(row.n, threshold) else None
 
     total = table.agg(F.sum("n")).first()[0] or 0
-    found = _with_frequencies(table, 8, total, decide, "cls string, n long, first array<long>")
-    return found.select(F.explode("first").alias("column"), "cls", "n")
+    found = _with_frequencies(table, 8, total, decide, "cls string, n long, shared long, first array<long>")
+    posts = stored(found.select(F.explode("first").alias("column"), "cls", "n", "shared"), "postings")
+    smallest = posts.groupBy("column").agg(F.min("n").alias("smallest"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    smallest = smallest.select(F.col("column").alias("_column"), "smallest")
+    least = f"greatest(smallest, {_ceil_share('n', threshold)})"
+    kept = posts.join(smallest, posts["column"] == smallest["_column"]).filter(f"shared >= {_needed('n', least, threshold)}")
+    return kept.select("column", "cls", "n", "shared")
 
 
-def close_sizes(a, b, threshold: int = THRESHOLD):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
+def _ceil_share(n: str, threshold: int) -> str:
+    return f"(({threshold} * {n} + 99) div 100)"
 
 
-def decided(pairs: DataFrame, whole: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole sets overlap enough (step 4)."""
-    side = lambda s: whole.select(F.col("cls").alias(s), F.col("columns").alias(f"of_{s}"))
+def overlaps(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, both, outside) of ``pairs``: the overlap of the whole sets, and the columns of a that b lacks (step 4)."""
+    side = lambda s: whole.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("columns").alias(f"of_{s}"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            keep = []
+            both, outside = [], []
             for a, b in zip(frame["of_a"], frame["of_b"]):
                 x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                keep.append(both * 100 >= threshold * (len(x) + len(y) - both))
-            yield frame.loc[keep, ["a", "b"]]
+                inside = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                both.append(int(inside.sum()))
+                outside.append(x[~inside].view(np.int64).tolist())
+            yield frame[["a", "b", "n_a", "n_b"]].assign(both=both, outside=outside)
+
+    schema = "a string, b string, n_a long, n_b long, both long, outside array<long>"
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInPandas(rows, schema)
+
+
+def linked_pairs(met: DataFrame, threshold: int) -> DataFrame:
+    return met.filter(f"100 * both >= {threshold} * (n_a + n_b - both)").select("a", "b")
+
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInPandas(rows, "a string, b string")
+def hub_pairs(posts: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): each document and the most typical document of the columns that agree most often."""
+    pick = F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), F.col("cls").alias("hub"), F.col("n").alias("hub_n")))
+    of_column = posts.groupBy(F.col("column").alias("_column")).agg(pick.alias("pick")).select("_column", "pick.hub", "pick.hub_n")
+    met = posts.join(of_column, posts["column"] == of_column["_column"])
+    met = met.filter((F.col("cls") != F.col("hub")) & close_sizes(F.col("n"), F.col("hub_n"), threshold))
+    votes = met.groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.groupBy(F.col("cls").alias("a")).agg(F.max_by("hub", F.struct("votes", "hub")).alias("b"))
+
+
+def columns_of(whole: DataFrame) -> DataFrame:
+    """(cls, n, column) of whole sets."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            yield frame[["cls", "n"]].assign(columns=[np.frombuffer(c, "<i8").tolist() for c in frame["columns"]])
+
+    unpacked = whole.select("cls", "n", "columns").mapInPandas(rows, "cls string, n long, columns array<long>")
+    return unpacked.select("cls", "n", F.explode("columns").alias("column"))
+
+
+def outside_pairs(unlinked: DataFrame, whole: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): documents not linked with their hub, and those that share enough of their columns outside the hub."""
+    # ``small``: a partner of more columns needs more than the overlap with the hub; ``more``: at least so many from outside.
+    x = unlinked.withColumn("more", F.expr(f"{_needed('n_a', f'greatest(small + 1, {_ceil_share('n_a', threshold)})', threshold)} - both"))
+    sought = x.select("a", "n_a", "both", "small", "more", F.explode("outside").alias("column"))
+    meant = small_side(sought.select("column").distinct())
+    found = stored(columns_of(whole).join(meant, "column", "left_semi").distinct(), "outside-columns")
+    often = found.groupBy("column").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # Of e outside columns that others have, a partner shares one of the e - more + 1 rarest.
+    ranked = sought.join(often, "column").withColumns({
+        "place": F.row_number().over(W.partitionBy("a").orderBy("often", "column")),
+        "e": F.count(F.lit(1)).over(W.partitionBy("a")),
+    })
+    rare = ranked.filter("place <= e - more + 1").select(F.col("column").alias("_column"), "a", "n_a", "small")
+    label = lambda side: labels.select(F.col("node").alias(f"_{side}"), F.col("label").alias(f"label_{side}"))
+    met = found.join(rare, (F.col("column") == F.col("_column")) & (F.col("cls") != F.col("a")) & (F.col("n") > F.col("small"))
+                     & close_sizes(F.col("n"), F.col("n_a"), threshold))
+    pairs = met.select("a", F.col("cls").alias("b")).distinct()
+    pairs = pairs.join(label("a"), F.col("a") == F.col("_a"), "left").join(label("b"), F.col("b") == F.col("_b"), "left")
+    return pairs.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
+def across_pairs(posts: DataFrame, unlinked: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): in each column the documents outside its largest group, and those of its other groups.
+
+    A document not linked with its hub meets only the partners that ``outside_pairs`` leaves out, those of at most ``small`` columns.
+    """
+    bound = unlinked.select(F.col("a").alias("_a"), "small")
+    live = posts.join(labels, posts["cls"] == labels["node"], "left").select("column", "cls", "n", "shared", F.coalesce("label", "cls").alias("label"))
+    of_label = live.groupBy("column", "label").agg(F.count(F.lit(1)).alias("rows"))
+    largest = of_label.groupBy(F.col("column").alias("_column")).agg(
+        F.max_by("label", F.struct("rows", "label")).alias("largest"), F.count(F.lit(1)).alias("groups")
+    )
+    largest = largest.filter("groups > 1").drop("groups")
+    mixed = stored(live.join(largest, live["column"] == largest["_column"]).drop("_column"), "mixed-columns")
+    rest = mixed.filter("label <> largest").join(bound, F.col("cls") == F.col("_a"), "left").select(
+        F.col("column").alias("_column"), F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("_shared"),
+        F.col("label").alias("_label"), "small",
+    )
+    rest = rest.filter(f"small is null or small >= {_ceil_share('n_a', threshold)}")
+    across = (
+        (F.col("column") == F.col("_column")) & (F.col("label") != F.col("_label"))
+        & ((F.col("label") == F.col("largest")) | F.col("small").isNotNull() | (F.col("cls") > F.col("a")))
+        & (F.col("n") <= F.coalesce("small", "n")) & close_sizes(F.col("n"), F.col("n_a"), threshold)
+        & (F.least("shared", "_shared") >= F.expr(_needed("n", "n_a", threshold)))
+    )
+    return mixed.join(rest, across).select("a", F.col("cls").alias("b")).distinct()
+
+
+def close_sizes(a, b, threshold: int = THRESHOLD):
+    return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
 
 
 def linked(posts: DataFrame, whole: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(node, label) of the groups that the classes of ``posts`` form (step 3)."""
-    spark = posts.sparkSession
-    links = spark.createDataFrame([], "a string, b string")
-    labels = spark.createDataFrame([], "node string, label string")
-    for turn in range(HUB_TURNS + 1):
-        live = posts.join(labels, posts["cls"] == labels["node"], "left").select("column", "cls", "n", F.coalesce("label", "cls").alias("label"))
-        key = F.col("cls") if turn == 0 else F.md5(F.concat(F.lit(f"{turn}:"), F.col("cls")))
-        of_column = live.groupBy("column").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct(key.alias("key"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))).alias("pick"),
-        ).filter("low <> high")
-        of_column = of_column.select(F.col("column").alias("_column"), "pick.hub", "pick.hub_n", "pick.hub_label")
-        if turn < HUB_TURNS:
-            met = live.join(of_column, live["column"] == of_column["_column"])
-            met = met.filter((F.col("label") != F.col("hub_label")) & close_sizes(F.col("n"), F.col("hub_n"), threshold))
-            votes = met.groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("votes"))
-            pairs = votes.groupBy("cls").agg(F.max_by("hub", F.struct("votes", "hub")).alias("b")).select(F.col("cls").alias("a"), "b")
-        else:
-            # Documents outside a column's largest group meet those of all its other groups.
-            of_label = live.groupBy("column", "label").agg(F.count(F.lit(1)).alias("rows"))
-            largest = of_label.groupBy("column").agg(F.max_by("label", F.struct("rows", "label")).alias("largest"), F.count(F.lit(1)).alias("groups"))
-            largest = largest.filter("groups > 1").select(F.col("column").alias("_column"), "largest")
-            mixed = stored(live.join(largest, live["column"] == largest["_column"]).drop("_column"), "mixed-columns")
-            rest = mixed.filter("label <> largest").select(
-                F.col("column").alias("_column"), F.col("cls").alias("a"), F.col("n").alias("_n"), F.col("label").alias("_label")
-            )
-            across = (
-                (F.col("column") == F.col("_column")) & (F.col("label") != F.col("_label"))
-                & ((F.col("label") == F.col("largest")) | (F.col("cls") > F.col("a"))) & close_sizes(F.col("n"), F.col("_n"), threshold)
-            )
-            pairs = mixed.join(rest, across).select("a", F.col("cls").alias("b")).distinct()
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        links = stored(links.union(decided(pairs, whole, threshold)), "links")
-        labels = components(links)
-    return labels
+    met = stored(overlaps(hub_pairs(posts, threshold), whole), "hub-pairs")
+    links = linked_pairs(met, threshold)
+    labels = components(links)
+    unlinked = met.join(links, ["a", "b"], "left_anti").withColumn(
+        "small", F.expr(f"({100 + threshold} * both) div {threshold} - n_a")
+    )
+    unlinked = stored(unlinked, "unlinked")
+    # A document without a column left in step 2 is no one's partner.
+    partners = whole.join(small_side(posts.select("cls").distinct()), "cls", "left_semi")
+    pairs = outside_pairs(unlinked, partners, labels, threshold).union(across_pairs(posts, unlinked, labels, threshold))
+    pairs = stored(pairs.distinct(), "pairs")
+    if pairs.isEmpty():
+        return labels
+    more = linked_pairs(overlaps(pairs, whole), threshold)
+    return components(links.union(more))
 
 
 def ngram_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every row."""
     first = stored(sets(docs, whole=False, threshold=threshold), "first-columns")
     some = stored(reachable(first, threshold), "reachable")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some.select("doc_id").distinct(), "doc_id", "left_semi")
-    whole = sets(texts, whole=True, threshold=threshold).join(some.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    ids = small_side(some.select("doc_id").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    if not first.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id", "text"])
+    whole = sets(texts, whole=True, threshold=threshold).join(small_side(some.select("cls")), "cls", "left_semi")
     whole = stored(whole, "whole-sets")
-    posts = stored(postings(whole, threshold), "postings")
+    posts = stored(postings(whole, threshold), "first-postings")
     labels = linked(posts, whole, threshold)
     # Ids by class first, then by group: a class or group of many rows is combined before the exchange.
     rows = first.select("doc_id", "n", "cls")
-    ids = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    ids = rows.filter("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     ids = ids.join(labels, ids["cls"] == labels["node"], "left").withColumn("label", F.coalesce("label", "cls"))
     several = stored(ids.filter("node is not null or rows > 1").select("cls", "label", "least"), "classes")
     of_group = several.groupBy("label").agg(F.min("least").alias("component"))
     of_class = stored(several.join(of_group, "label").select(F.col("cls").alias("_cls"), "component"), "groups")
     joined = rows.join(of_class, rows["cls"] == of_class["_cls"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

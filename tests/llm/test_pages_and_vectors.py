@@ -1,0 +1,170 @@
+"""Page extraction and nearest neighbours."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pluvio.llm import graph_search as gs, html_extract as hx, registry
+
+from .helpers import prose
+
+SF = "/root/testdata/sf0.001"
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x}</style><script>var t="</p><p>no</p>";</script></head><body>
+<nav><ul><li><a href="/">Home</a></li></ul></nav><header>Site head</header><!-- <p>gone</p> --><div class="ad">Buy</div>
+<div class="cookie-notice">We use cookies</div><aside><p>Side</p></aside>
+%s
+<section id="comments"><article><p>I disagree</p></article></section><form><p>Name</p><input></form><footer>&copy; 2020</footer></body></html>"""
+
+
+def main(html):
+    return "\n".join(t for kind, t in hx.blocks(html) if kind == hx.MAIN)
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<article><h1>Title</h1><p>One <b>b</b>old\n  and&amp;more</p><p>Two</p></article>", "Title\nOne bold and&more\nTwo"),
+    ("<article><h1>T</h1><p><b>first<br><p>second</p></article>", "T\nfirst\nsecond"),
+    ("<main><div>a<p>b</p>c</div></main>", "a\nb\nc"),
+    ("<article><header><h1>T</h1></header><p>x</p><aside>no</aside><div class='share'>no</div><p>y</p></article>", "T\nx\ny"),
+    ("<article><p>1 < 2 &lt;b&gt; &#233; &eacute; &nbsp; z</p></article>", "1 < 2 <b> é é z"),
+    ("<article><ul><li>a<li>b</ul><table><tr><td>c</td><td>d</td></tr></table></article>", "a\nb\nc\nd"),
+    ("<div role='main'><p>x</p></div>", "x"),
+    ("<article></article>", ""),
+])
+def test_article_text(body, text):
+    assert main(PAGE % body) == text
+
+
+def test_broken_markup():
+    assert main("<article><p>cut off he") == "cut off he"
+    assert main("<article><p>cut <b") == "cut"
+    assert main("<article><p>a &am") == "a &am"
+    assert main("<nav><ul><li>x<article><p>body</p></article>") == "body"
+    assert hx.blocks("") == [] and hx.blocks("<script>x") == [] and hx.blocks("plain") == [(hx.OPEN, "plain")]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, `row` string")
+
+
+def test_undecided_pages_lose_the_repeated_runs_of_their_host(spark):
+    boiler, tail = prose(1, 30), prose(2, 20)
+    rows = [(k, f"http://A.example/{k}", f"<div>{boiler}</div><div>{prose(10 + k, 25)}</div><div>{prose(50 + k, 5)} {tail}</div>") for k in range(20)]
+    rows += [(30, "http://b.example/", rows[0][2]), (31, "http://a.example/again", rows[0][2])]  # alone on its host; a page of equal content
+    got = {r.page_id: r.text for r in hx.extract(table(spark, rows)).collect()}
+    for k in range(20):
+        assert got[k] == f"{prose(10 + k, 25)}\n{prose(50 + k, 5)}"
+    assert got[31] == got[0] and got[30] == "\n".join([boiler, prose(10, 25), f"{prose(50, 5)} {tail}"])
+
+
+def test_repeated_runs_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    parts = [prose(k, int(rng.integers(3, 20))) for k in range(12)]
+    pages = [(k, f"http://h{k % 2}.example/", "".join(f"<div>{parts[i]}</div>" for i in rng.integers(0, 12, 6))) for k in range(14)]
+    starts = defaultdict(set)
+    streams = {}
+    for k, url, html in pages:
+        streams[k] = [(b, w) for b, (_, t) in enumerate(hx.blocks(html)) for w in t.split()]
+        words = [w for _, w in streams[k]]
+        for i in range(len(words) - hx.RUN + 1):
+            starts[url, tuple(words[i : i + hx.RUN])].add(html)
+    want = {}
+    for k, url, html in pages:
+        words, covered = [w for _, w in streams[k]], set()
+        for i in range(len(words) - hx.RUN + 1):
+            if len(starts[url, tuple(words[i : i + hx.RUN])]) > 1:
+                covered |= set(range(i, i + hx.RUN))
+        kept = defaultdict(list)
+        for i, (b, w) in enumerate(streams[k]):
+            if i not in covered:
+                kept[b].append(w)
+        want[k] = "\n".join(" ".join(v) for _, v in sorted(kept.items()))
+    assert {r.page_id: r.text for r in hx.extract(table(spark, pages)).collect()} == want
+
+
+def test_pages_table(spark):
+    rows = registry.QUERIES["op4_html_extract"](spark, SF).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    assert Counter(r.page_id for r in rows) == Counter(pages.keys())
+    for r in rows:
+        assert r.url == pages[r.page_id].url and r.n_chars == len(r.text) and r.text and "<" not in r.text
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None), (2, "no url", ""), (None, "http://x.example", "<p>a b</p>"), (4, "http://x.example", "<p>a b</p>"), (4, "http://x.example", "<p>a b</p>")]
+    got = sorted((str(r.page_id), r.text, r.n_chars) for r in hx.extract(table(spark, rows)).collect())
+    assert got == [("1", "", 0), ("2", "", 0), ("4", "a b", 3), ("4", "a b", 3), ("None", "a b", 3)]
+    assert hx.extract(table(spark, [])).count() == 0
+
+
+# --- nearest neighbours ------------------------------------------------------------------------
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 0, "x") for i, v in rows],
+                                 "vec_id long, embedding array<float>, label int, shard string")
+
+
+def brute(ids, x, query, k=10):
+    d = np.sqrt(((x - x[ids == query][0]) ** 2).sum(1))
+    keep = ids != query
+    order = np.lexsort((ids[keep], d[keep]))[:k]
+    return ids[keep][order].tolist(), d[keep][order].tolist()
+
+
+def test_recall_and_exact_scores_over_shards(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 32))
+    x = (centres[rng.integers(0, 20, 3000)] + 0.7 * rng.normal(size=(3000, 32))).astype(np.float32)
+    ids = rng.permutation(10_000)[:3000] * 10
+    df = vectors(spark, list(zip(ids.tolist(), x.tolist())))
+    graphs = gs.index(df, shard_rows=700)
+    assert graphs.select("shard").distinct().count() == 5
+    assert sorted(i for r in graphs.collect() for i in r.vec_ids) == sorted(ids.tolist())
+    assert max(len(r.neighbours) for r in graphs.collect()) <= gs.DEGREE
+    found = defaultdict(list)
+    for r in gs.search(graphs, df.filter(F.col("vec_id") % 100 == 0)).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r)
+    assert set(found) == {i for i in ids.tolist() if i % 100 == 0}
+    hits = 0
+    for query, rows in found.items():
+        near, distance = brute(ids, x.astype(float), query)
+        hits += len(set(near) & {r.vec_id for r in rows})
+        assert [r["rank"] for r in rows] == list(range(1, 11)) and [r.score for r in rows] == sorted(r.score for r in rows)
+        at = {i: d for i, d in zip(*brute(ids, x.astype(float), query, 3000))}
+        assert all(r.score == at[r.vec_id] for r in rows)
+    assert hits / (10 * len(found)) >= 0.95
+
+
+def test_table_of_embeddings(spark):
+    rows = registry.QUERIES["op6_graph_search"](spark, SF).collect()
+    table = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    ids, x = np.array([r.vec_id for r in table]), np.array([r.embedding for r in table], float)
+    for query in {r.query_id for r in rows}:
+        got = sorted((r for r in rows if r.query_id == query), key=lambda r: r["rank"])
+        near, _ = brute(ids, x, query)
+        assert len(set(near) & {r.vec_id for r in got}) >= 9
+
+
+def test_ties_copies_and_odd_vectors(spark):
+    rows = [(100 * k, [1.0, 0.0]) for k in range(3)] + [(k, [1.0, 0.0]) for k in range(1, 40)]  # one vector many times
+    rows += [(500, [0.0, 0.0]), (600, None), (700, [1.0, None]), (800, [math.nan, 1.0]), (900, [math.inf, 1.0]), (1000, []), (None, [1.0, 1.0])]
+    rows += [(1100, [1.0, 2.0, 3.0]), (1101, [1.0, 2.0, 4.0]), (77, [2.0, 0.0])]
+    got = defaultdict(list)
+    for r in gs.nearest(vectors(spark, rows)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == {0, 100, 200, 1100}
+    assert [i for i, _ in got[0]] == list(range(1, 11)) and [i for i, _ in got[100]] == list(range(0, 10))
+    assert all(s == 0.0 for _, s in got[200]) and got[1100] == [(1101, 1.0)]
+    assert gs.nearest(vectors(spark, [])).count() == 0
+    assert gs.nearest(vectors(spark, [(100, [1.0])])).count() == 0
+    twice = gs.nearest(vectors(spark, [(100, [1.0]), (100, [1.0]), (1, [3.0]), (1, [3.0])])).collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(twice, key=lambda r: r["rank"])] == [(1, 1, 2.0), (2, 1, 2.0)]
+
+
+def test_pruning_keeps_diverse_edges():
+    points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [0, 2.1]], np.float32)
+    assert gs.robust_prune(points, 0, np.array([1, 2, 3, 4, 0, -1]), 1.0, 4).tolist() == [1, 3]
+    assert gs.robust_prune(points, 0, np.array([1, 2, 3, 4]), 1.2, 1).tolist() == [1]
