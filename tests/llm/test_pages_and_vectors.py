@@ -42,6 +42,9 @@ def test_broken_markup():
     assert main("<article><p>cut <b") == "cut"
     assert main("<article><p>a &am") == "a &am"
     assert main("<nav><ul><li>x<article><p>body</p></article>") == "body"
+    assert main("<article><p>a <i title=\"x>b</i></p></article>") == "a b"
+    assert hx.blocks("<a" * 100_000 + "x") == [(hx.OPEN, "<a" * 99_999)]  # read in one go, however broken
+    assert hx.blocks("1 <2 <3") == [(hx.OPEN, "1 <2 <3")]
     assert hx.blocks("") == [] and hx.blocks("<script>x") == [] and hx.blocks("plain") == [(hx.OPEN, "plain")]
 
 
