@@ -88,6 +88,29 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, unnest(
+            CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+          FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+          FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+          SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reached r JOIN edges e ON e.x = r.other),
+        components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN components g ON g.doc_id = d.doc_id""",
     "op3_line_dedup": r"""
         WITH pages AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
         totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),

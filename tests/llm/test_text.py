@@ -113,10 +113,11 @@ def test_components_of_a_long_chain(spark):
 # --- line dedup --------------------------------------------------------------------------------
 
 
-def test_line_dedup_equals_its_sql(spark, duck):
-    result = duck.execute(registry.ORACLE["op3_line_dedup"])
+@pytest.mark.parametrize("name", ["op2_ngram_join", "op3_line_dedup"])
+def test_query_equals_its_sql(spark, duck, name):
+    result = duck.execute(registry.ORACLE[name])
     names = [d[0] for d in result.description]
-    got = registry.QUERIES["op3_line_dedup"](spark, SF).select(names).collect()
+    got = registry.QUERIES[name](spark, SF).select(names).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, result.fetchall()))
 
 
