@@ -15,8 +15,16 @@ from pluvio.session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Python workers are used again by later stages; with these they give large arrays back instead of keeping them.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(8 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+                 "MALLOC_ARENA_MAX": "2"}
+# Rows that go to a Python worker at a time; documents are long.
+BATCH_ROWS = 1024
+
+
 def on_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """``query(spark, ...)`` whose Python workers look for this package where the driver found it, besides their own path."""
+    """``query(spark, ...)`` whose Python workers look for this package where the driver found it, besides their own path, and
+    have the settings of ``WORKER_MEMORY`` where the session sets no others. Batches are limited for the session."""
 
     @wraps(query)
     def run(spark: SparkSession, *rest) -> DataFrame:
@@ -24,6 +32,10 @@ def on_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         path = environment.get("PYTHONPATH", "").split(":")
         if root not in path:
             environment["PYTHONPATH"] = ":".join([root, *filter(None, path)])
+        for name, value in WORKER_MEMORY.items():
+            environment.setdefault(name, value)
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         return query(spark, *rest)
 
     return run

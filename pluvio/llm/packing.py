@@ -33,11 +33,11 @@ END_TOKEN = 1
 # Sequences of a step group.
 STEP_SEQUENCES = 64
 # Words whose ids a worker remembers, and the longest such word.
-MEMORY_WORDS, MEMORY_CHARS = 900_000, 48
+MEMORY_WORDS, MEMORY_CHARS = 250_000, 48
 _WORDS = re.compile(WORD)
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 # Characters of texts whose new words are encoded together.
-LEARN_CHARS = 1 << 18
+LEARN_CHARS = 1 << 20
 _worker: dict[str, tuple] = {}
 
 
@@ -58,6 +58,7 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.again: set[str] = set()
 
     def _alone(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -111,17 +112,27 @@ class WordTokenizer:
         yield from self._group(group)
 
     def _group(self, group: list[list[str]]) -> Iterator[bytes]:
-        if len(self.known) > MEMORY_WORDS:
-            for memory in (self.known, self.bare, self.tails):
-                memory.clear()
-        fresh = list(set(chain.from_iterable(group)).difference(self.known))
+        here = set(chain.from_iterable(group))
+        fresh = list(here.difference(self.known))
         self._learn(fresh)
         for words in group:
             yield b"".join(map(self.known.__getitem__, words))
-        for memory in (self.known, self.bare, self.tails):
-            for word in [w for w in fresh if len(w) > MEMORY_CHARS]:
-                for part in (word, word.rstrip(punctuation), word[len(word.rstrip(punctuation)) :]):
-                    memory.pop(part, None)
+        self.again.update(here.difference(fresh))
+        for word in [w for w in fresh if len(w) > MEMORY_CHARS]:
+            letters = word.rstrip(punctuation)
+            self.known.pop(word, None)
+            self.bare.pop(letters, None)
+            self.tails.pop(word[len(letters) :], None)
+        if len(self.known) > MEMORY_WORDS:
+            self._forget()
+
+    def _forget(self) -> None:
+        """Keeps the words that came in more than one group; most words never come again."""
+        self.known = {w: self.known[w] for w in self.again if w in self.known}
+        self.bare = {w: ids for w, ids in self.known.items() if w.isalpha()}
+        self.tails = {}
+        if len(self.again) > MEMORY_WORDS // 2:
+            self.again = set()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:

@@ -19,8 +19,8 @@ from pluvio.operators.joins import small_side
 
 SEED = "shard-1"
 # Pieces a source (hex digits of the key) and the interleaved order are counted in.
-BUCKET_DIGITS = 2
-SLICES = 1024
+BUCKET_DIGITS = 3
+SLICES = 8192
 
 
 def text_bytes(text: Column) -> Column:
