@@ -215,7 +215,7 @@ def _upsert(i: Inputs, raw: DataFrame, schema, key: str, keep: list[str]) -> Dat
     """The morning's readings in a stored table, then the afternoon's upserted, twice."""
     keys = ["location_id", key]
     path, staging = work_dir(i.spark, "upsert"), work_dir(i.spark, "upsert-staging")
-    day = {"partition": "date"} if key == "date" else {"partition": "day", "day_of": key}
+    day = {"partition": "month", "day_of": key, "unit": "month"} if key == "date" else {"partition": "day", "day_of": key}
     morning, afternoon = _polls(raw)
     for batch in (morning, afternoon, afternoon):
         table = sinks.upsert_table(i.spark, path, batch, schema, staging, keys, keep, **day)
@@ -225,7 +225,7 @@ def _upsert(i: Inputs, raw: DataFrame, schema, key: str, keep: list[str]) -> Dat
 def _reload(i: Inputs) -> DataFrame:
     """A stored table whose window is reloaded, twice."""
     path = work_dir(i.spark, "reload")
-    i.raw_daily.write.partitionBy("date").parquet(path)
+    i.raw_daily.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(path)
     start, end = (F.lit(d).cast("date") for d in RELOAD)
     batch = i.raw_daily.filter(F.col("date").between(start, end))
     batch = batch.withColumn("wind_speed_10m_max", F.col("wind_speed_10m_max") + 1)

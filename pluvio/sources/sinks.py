@@ -140,11 +140,12 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, schema: StructType, staging: str, keys: Sequence[str],
     keep: Sequence[str], partition: str, order: Sequence[str] = ("_extracted_at", "id"), day_of: str | None = None,
+    unit: str = "day",
 ) -> DataFrame:
-    """Upsert into a table with a folder per day, rewriting only the days of the batch.
+    """Upsert into a table with a folder per day (or month), rewriting only those of the batch.
 
-    ``partition`` is one of the keys, or the day of the key ``day_of``. A batch row without one of the keys is an error
-    and nothing is written. All rows of the touched days are written to ``staging`` first. A run that was cut short while it
+    ``partition`` is one of the keys, or the first day of the ``unit`` that holds the key ``day_of``. A batch row without one of the keys is an error
+    and nothing is written. All rows of the touched folders are written to ``staging`` first. A run that was cut short while it
     replaced folders is finished from there by the next one, which then merges its own batch.
     """
     if day_of is None and partition not in keys:
@@ -156,7 +157,7 @@ def upsert_table(
     if not batch.filter(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
         raise ValueError(f"the batch has rows without one of its keys {list(keys)}")
     fresh = _as_declared(batch, schema)
-    fresh = fresh if day_of is None else fresh.withColumn(partition, F.to_date(day_of))
+    fresh = fresh if day_of is None else fresh.withColumn(partition, F.date_trunc(unit, F.col(day_of)).cast("date"))
     table = read_if_present(spark, path, stored)
     old = spark.createDataFrame([], stored) if table is None else table
     touched = old.filter(F.col(partition).isin(touched_partitions(fresh, partition)))
