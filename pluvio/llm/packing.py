@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 from string import punctuation
 
 import numpy as np
@@ -116,7 +117,8 @@ class WordTokenizer:
         fresh = list(here.difference(self.known))
         self._learn(fresh)
         for words in group:
-            yield b"".join(map(self.known.__getitem__, words))
+            # itemgetter with a single name gives no tuple.
+            yield b"".join(itemgetter(*words)(self.known)) if len(words) > 1 else b"".join(self.known[w] for w in words)
         self.again.update(here.difference(fresh))
         for word in [w for w in fresh if len(w) > MEMORY_CHARS]:
             letters = word.rstrip(punctuation)
