@@ -1,12 +1,15 @@
 """Hierarchical multi-length packing of tokenised documents.
 
-Documents are cut only where they are longer than a window: into whole windows and a rest. Rests are routed
-to tiers by length. Windows are planned from the longest tier down: a window opens with the longest piece
-left, and its gap is filled with the piece, or pair of pieces, that fits it exactly, or else with the longest
-one of a shorter tier that fits. As only lengths matter, the plan is made from the number of pieces of each length
+Documents are cut only where they are longer than the longest window: into whole windows and a rest. Pieces are
+routed to the shortest tier that holds them, and a tier has windows of its own size. Windows are planned from the
+longest tier down: a window opens with the longest piece left of its tier, and its gap is filled with the piece, or
+pair of pieces, that fits it exactly, or else with the longest one that fits; where each tier has twice the size of the
+one before, those are of shorter tiers (in the shortest, of its own). Below the longest tier only windows that come out
+full are made. The pieces that fill none are joined in windows of the longest size, and a window that a shorter tier
+holds belongs to that one. As only lengths matter, the plan is made from the number of pieces of each length
 (at most ``window`` numbers, whatever the corpus); pieces then take the planned places by their rank among
-pieces of their length. Windows are ordered by attention cost (the sum of squared lengths) and dealt to step groups in turn, so that
-steps cost alike.
+pieces of their length. Windows are ordered by tier and attention cost (the sum of squared lengths) and dealt to step
+groups in turn, so that steps hold as many windows of each tier and cost alike.
 
 A null or empty text is the end token alone. Repeated rows are packed each. Very long texts are tokenised
 whole, word by word. Columns besides doc_id and text are passed over; an empty table gives no pieces.
@@ -180,23 +183,36 @@ def _filling(left: np.ndarray, gap: int) -> list[int]:
     return chosen
 
 
-def plan(counts: dict[int, int], window: int = WINDOW) -> list[tuple[int, tuple[int, ...]]]:
-    """(number of windows, their lengths in order), from how many pieces there are of each length."""
+def tier_of(length: int, window: int = WINDOW, tiers: tuple[int, ...] = ()) -> int:
+    """The shortest tier that holds ``length`` tokens."""
+    return min([t for t in tiers if length <= t < window], default=window)
+
+
+def plan(counts: dict[int, int], window: int = WINDOW, tiers: tuple[int, ...] = ()) -> list[tuple[int, tuple[int, ...]]]:
+    """(number of windows, their lengths in order), longest tier first, from how many pieces there are of each length.
+
+    Without ``tiers`` all windows are of one size.
+    """
     left = np.zeros(window + 1, np.int64)
     for length, count in counts.items():
         left[length] = count
     windows: Counter = Counter()
-    for length in range(window, 0, -1):
-        while left[length]:
-            left[length] -= 1
-            lengths = (length, *_filling(left, window - length))
-            left[length] += 1
-            uses = Counter(lengths)
-            number = min(int(left[k]) // n for k, n in uses.items())
-            for k, n in uses.items():
-                left[k] -= n * number
-            windows[lengths] += number
-    return sorted(((n, w) for w, n in windows.items()), key=lambda x: (-sum(k * k for k in x[1]), x[1]))
+    sizes = sorted({window, *[t for t in tiers if t < window]}, reverse=True)
+    # At last, what fills no window of its tier.
+    for size, shorter in [*zip(sizes, [*sizes[1:], 0]), (window, 0)]:
+        for length in range(size, shorter, -1):
+            while left[length]:
+                left[length] -= 1
+                lengths = (length, *_filling(left, size - length))
+                left[length] += 1
+                if size < window and sum(lengths) < size:
+                    break
+                uses = Counter(lengths)
+                number = min(int(left[k]) // n for k, n in uses.items())
+                for k, n in uses.items():
+                    left[k] -= n * number
+                windows[lengths] += number
+    return sorted(((n, w) for w, n in windows.items()), key=lambda x: (-tier_of(sum(x[1]), window, tiers), -sum(k * k for k in x[1]), x[1]))
 
 
 def places(planned: list[tuple[int, tuple[int, ...]]]) -> dict[int, np.ndarray]:
@@ -215,13 +231,21 @@ def places(planned: list[tuple[int, tuple[int, ...]]]) -> dict[int, np.ndarray]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, tiers: tuple[int, ...] = TIERS, step_sequences: int = STEP_SEQUENCES) -> DataFrame:
-    """Every piece with its sequence, the offset there, its tier and its step group."""
+    """Every piece with its sequence, the offset and the tier there, and the step group.
+
+    A step has about as many tokens as ``step_sequences`` windows of the longest tier.
+    """
     cut = stored(pieces(docs, tokenizer_path, window), "pieces")
     # At most ``window`` rows come to the driver.
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    planned = plan(counts, window)
+    planned = plan(counts, window, tiers)
     found = places(planned)
-    steps = max(1, -(-sum(n for n, _ in planned) // step_sequences))
+    sizes: Counter = Counter()
+    for number, lengths in planned:
+        sizes[tier_of(sum(lengths), window, tiers)] += number
+    steps = max(1, -(-sum(n * size for size, n in sizes.items()) // (window * step_sequences)))
+    # Sequences are numbered tier by tier.
+    tier_sizes, tier_ends = np.array([*sizes], np.int64), np.cumsum([*sizes.values()])
     tie = [F.col(c) for c in ("doc_id", "start", "ids_crc32", "doc_tokens")]
     bucket = F.substring(F.md5(F.concat_ws(":", F.col("doc_id"), F.col("start"))), 1, 2)
     numbered = ranked(cut.withColumn("_bucket", bucket), ["length"], "_bucket", tie, "_rank").drop("_bucket")
@@ -236,7 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, tiers: tupl
                     runs = found[int(length[part[0]])]
                     run = runs[np.searchsorted(runs[:, 0], rank[part], side="right") - 1]
                     sequence[part], offset[part] = run[:, 1] + rank[part] - run[:, 0], run[:, 2]
-            tier = np.array([*tiers, window])[np.searchsorted(tiers, length)]
+            tier = tier_sizes[np.searchsorted(tier_ends, sequence, side="right")]
             yield frame.assign(sequence_id=sequence, offset=offset, tier=tier, step_group=sequence % steps)
 
     named = numbered.select(F.col("doc_id").cast("string").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "_rank")

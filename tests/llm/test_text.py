@@ -217,6 +217,30 @@ def test_plan_uses_every_piece_once():
     assert sum(k * n for k, n in counts.items()) / full > 0.995
 
 
+def test_windows_of_every_tier(spark):
+    """A tier has windows of its own size; gaps of longer ones are filled from shorter tiers; steps share each tier evenly."""
+    rng = np.random.default_rng(4)
+    counts = Counter(int(x) for x in rng.integers(1, 2049, 3000)) + Counter(int(x) for x in rng.integers(1, 400, 6000))
+    planned = packing.plan(dict(counts), 2048, packing.TIERS)
+    used, sizes = Counter(), []
+    for n, lengths in planned:
+        size = packing.tier_of(sum(lengths), 2048, packing.TIERS)
+        sizes.append((size, n))
+        used.update({k: n * lengths.count(k) for k in set(lengths)})
+        if size > 256 and lengths[0] > size // 2:
+            assert all(k <= size // 2 for k in lengths[1:])
+    assert used == counts and {s for s, _ in sizes} == set(packing.TIERS) and [s for s, _ in sizes] == sorted((s for s, _ in sizes), reverse=True)
+    assert sum(s * n for s, n in sizes) < 1.001 * sum(k * n for k, n in counts.items())
+    texts = [" ".join(["word"] * (k - 1)) for k in (2048, 1500, 548, 1000, 24, 400, 112, 200, 56, 50)]
+    rows = packing.pack(documents(spark, [(k, t, "s") for k, t in enumerate(texts)]), registry.tokenizer_path(), step_sequences=1).collect()
+    held = defaultdict(list)
+    for r in rows:
+        held[r.sequence_id, r.tier].append(r.length)
+    assert sorted((tier, sorted(v)) for (_, tier), v in held.items()) == [
+        (256, [50]), (256, [56, 200]), (512, [112, 400]), (1024, [24, 1000]), (2048, [548, 1500]), (2048, [2048])]
+    assert {r.step_group for r in rows} == {0, 1, 2}
+
+
 def test_exact_fillings():
     left = np.zeros(2049, np.int64)
     left[[100, 300, 700]] = [1, 2, 1]
