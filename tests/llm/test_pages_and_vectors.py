@@ -45,6 +45,11 @@ def test_broken_markup():
     assert main("<article><p>a <i title=\"x>b</i></p></article>") == "a b"
     assert hx.blocks("<a" * 100_000 + "x") == [(hx.OPEN, "<a" * 99_999)]  # read in one go, however broken
     assert hx.blocks("1 <2 <3") == [(hx.OPEN, "1 <2 <3")]
+    assert main('<article><svg-icon name="x"></svg-icon><p>a</p><title-bar>b</title-bar><p>c</p></article>') == "a\nb\nc"
+    assert main('<article><h1>T</h1><svg class="i"/><p>a</p><svg><text>no</text></svg><p>b</p></article>') == "T\na\nb"
+    assert main('<article><button class="b"><p>one</p><button class="share"><p>two</p><button>no</button><p>three</p></article>') == "one\ntwo\nthree"
+    assert main("<article><select><option>a<svg><p>b</p></article>") == "a\nb"
+    assert hx.blocks("<button>" * 50_000 + "x") == [(hx.OPEN, "x")]
     assert hx.blocks("") == [] and hx.blocks("<script>x") == [] and hx.blocks("plain") == [(hx.OPEN, "plain")]
 
 
