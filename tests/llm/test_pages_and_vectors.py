@@ -67,6 +67,22 @@ def test_undecided_pages_lose_the_repeated_runs_of_their_host(spark):
     assert got[31] == got[0] and got[30] == "\n".join([boiler, prose(10, 25), f"{prose(50, 5)} {tail}"])
 
 
+def test_pages_inside_a_form_or_a_hinted_wrapper(spark):
+    menu, notice = prose(1, 30), prose(2, 20)
+    inner = f"<nav>Home</nav><div>{menu}</div><div class='notice'>{notice}</div>"
+    wrappers = ["<form action='/'>%s</form>", "<form role='form'>%s</form>", "<div class='content sidebar-right'>%s</div>", "<div id='page' class='has-widget'>%s</div>",
+                "<div class='has-comments'>%s</div>", "<h1></h1><form>%s</form>"]
+    rows = [(k, f"http://a.example/{k}", "<body>" + w % f"{inner}<p>{prose(10 + k, 25)}</p>" + "<footer>end</footer></body>") for k, w in enumerate(wrappers)]
+    rows += [(k + 100, "http://a.example/m", f"<form class='ad'><div role='main'><p>{prose(50 + k, 9)}</p></div>{inner}</form>") for k in range(2)]
+    got = {r.page_id: r.text for r in hx.extract(table(spark, rows)).collect()}
+    assert got == {k: prose(10 + k, 25) for k in range(len(wrappers))} | {k + 100: prose(50 + k, 9) for k in range(2)}
+
+
+def test_hints_inside_an_article():
+    assert main("<article><div class='entry-content has-sidebar'>a</div><div class='post-comments'>b</div><div class='story promo'>c</div></article>") == "a"
+    assert main("<article>a<form>b</form><div class='ad'><div role='main'>c</div></div></article><div id='comments'><article>d</article></div>") == "a\nc"
+
+
 def test_repeated_runs_against_brute_force(spark):
     rng = np.random.default_rng(2)
     parts = [prose(k, int(rng.integers(3, 20))) for k in range(12)]
