@@ -4,8 +4,10 @@ Rows are dealt to shards by a hash of their id. In a shard, equal vectors are on
 seeded order, many at once: a greedy beam search through the graph so far proposes neighbours, and
 relaxed pruning keeps an edge to the nearest proposal and drops those that are ``alpha`` times nearer to a kept one than to the
 node. Edges are also laid back and pruned again, and a second pass goes over the full graph. A query is searched in
-every shard by the same beam search; what the beams find is measured again exactly, in double precision, and
-the nearest of all shards are kept.
+every shard by the same beam search, in double precision, on points that are centred and scaled by shard; what the
+beams find is measured again on the vectors as given, and the nearest of all shards are kept. A query whose beam comes
+back short or that lies far from a shard, and a shard whose points differ too much in magnitude to be squared, is
+answered by a scan of that shard.
 
 The graph table indexes every row. Vectors that are null, empty, zero, or hold a null or non-finite component take no
 part; vectors of another length than a query's are no candidates for it (shards are split by length).
@@ -29,6 +31,9 @@ SEED = 11
 # Nodes inserted, or queries searched, in one go; queries that meet a shard in one task.
 TOGETHER = 256
 BLOCK_QUERIES = 16_384
+# A query this many times farther from a shard's centre than its median vector is held against all of the shard, and
+# vectors that far against every query: no edges lead there.
+FAR, TINY = 64.0, 1e-300
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -40,8 +45,36 @@ def usable(vectors: DataFrame) -> DataFrame:
     return kept.select("vec_id", v.cast("array<double>").alias("embedding"), F.size(v).alias("dims"))
 
 
+def placing(exact: np.ndarray) -> tuple[float, np.ndarray, bool]:
+    """A power of two and a centre that bring a shard's vectors near the unit cube, and whether squared distances there tell them apart.
+
+    The centre is the median, which a few vectors far away do not move.
+    """
+    scale = 2.0 ** max(-1022, min(1023, int(np.frexp(np.abs(exact).max())[1])))
+    centre = np.median(exact / scale, axis=0)
+    away = np.abs(exact / scale - centre).max(1)
+    return scale, centre, bool((away[away > 0] > 1e-120).all())
+
+
+def placed(vectors: np.ndarray, scale: float, centre: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return vectors / scale - centre
+
+
+def exact_distances(points: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision, scaled where squares leave its range."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = np.sqrt(((points - vector) ** 2).sum(1))
+        for i in np.flatnonzero(~((score > 1e-140) & (score < np.inf))):
+            half = points[i] / 2 - vector / 2 if not np.isfinite(score[i]) else points[i] - vector
+            most = np.abs(half).max()
+            if most > 0:
+                score[i] = most * np.sqrt(((half / most) ** 2).sum()) * (1 if np.isfinite(score[i]) else 2)
+    return score
+
+
 def _distances(points: np.ndarray, norms: np.ndarray, at: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Squared distances (rounded to float32) from each query to its own candidates."""
+    """Squared distances from each query to its own candidates."""
     return norms[at] - 2 * np.matmul(points[at], queries[:, :, None])[:, :, 0] + (queries * queries).sum(1)[:, None]
 
 
@@ -52,7 +85,7 @@ def beam_search(points: np.ndarray, norms: np.ndarray, edges: np.ndarray, start:
     """
     n, q = len(points), len(queries)
     ids = np.full((q, beam), -1, np.int64)
-    near = np.full((q, beam), np.inf, np.float32)
+    near = np.full((q, beam), np.inf, points.dtype)
     done = np.ones((q, beam), bool)
     seen = np.zeros((q, n + 1), bool)
     seen[:, n] = True
@@ -67,7 +100,7 @@ def beam_search(points: np.ndarray, norms: np.ndarray, edges: np.ndarray, start:
         fresh = ~seen[live[:, None], found]
         seen[live[:, None], found] = True
         # Within one row of edges no node comes twice.
-        distance = np.where(fresh, _distances(points, norms, np.minimum(found, n - 1), queries[live]), np.inf).astype(np.float32)
+        distance = np.where(fresh, _distances(points, norms, np.minimum(found, n - 1), queries[live]), np.inf)
         all_ids = np.concatenate([ids[live], found], 1)
         all_near = np.concatenate([near[live], distance], 1)
         all_done = np.concatenate([done[live], ~fresh], 1)
@@ -139,7 +172,8 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, degree: int = DEGREE
         frame = frame.sort_values("vec_id")
         exact = np.array(frame["embedding"].tolist(), np.float64)
         distinct, node = np.unique(exact, axis=0, return_inverse=True)
-        edges, start = build(distinct.astype(np.float32), degree, beam, alpha)
+        scale, centre, _ = placing(distinct)
+        edges, start = build(placed(distinct, scale, centre), degree, beam, alpha)
         order = np.argsort(node.ravel(), kind="stable")
         members = np.split(frame["vec_id"].to_numpy()[order], np.cumsum(np.bincount(node.ravel()))[:-1])
         return pd.DataFrame({
@@ -170,7 +204,11 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM)
         if len(graph) and len(asks):
             graph = graph.sort_values("node")
             exact = np.array(graph["embedding"].tolist(), np.float64)
-            points = exact.astype(np.float32)
+            scale, centre, told = placing(exact)
+            points = placed(exact, scale, centre)
+            away = np.abs(points).max(1)
+            bound = FAR * max(np.median(away), TINY)
+            far = np.flatnonzero(away > bound)
             norms = (points * points).sum(1)
             edges = np.full((len(graph), max(1, graph["neighbours"].map(len).max())), -1, np.int64)
             for row, found in zip(edges, graph["neighbours"]):
@@ -181,10 +219,16 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM)
             for at in range(0, len(asks), TOGETHER):
                 ids = asks["query_id"].to_numpy()[at : at + TOGETHER]
                 vectors = np.array(asks["embedding"].iloc[at : at + TOGETHER].tolist(), np.float64)
-                nodes, _ = beam_search(points, norms, edges, start, vectors.astype(np.float32), max(beam, k + 1))
-                for query, vector, reached in zip(ids, vectors, nodes):
+                asked_at = placed(vectors, scale, centre)
+                usual = told & (np.abs(asked_at).max(1) <= bound)
+                nodes, _ = beam_search(points, norms, edges, start, np.where(usual[:, None], asked_at, 0.0), max(beam, k + 1))
+                for query, vector, reached, usable_beam in zip(ids, vectors, nodes, usual):
                     reached = reached[reached >= 0]
-                    score = np.sqrt(((exact[reached] - vector) ** 2).sum(1))
+                    if not usable_beam or len(reached) < min(len(points), max(beam, k + 1)):
+                        reached = np.arange(len(points))
+                    elif len(far):
+                        reached = np.union1d(reached, far)
+                    score = exact_distances(exact[reached], vector)
                     candidates = np.concatenate([members[i] for i in reached])
                     scores = np.repeat(score, [len(members[i]) for i in reached])
                     other = candidates != query

@@ -188,6 +188,26 @@ def test_ties_copies_and_odd_vectors(spark):
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(twice, key=lambda r: r["rank"])] == [(1, 1, 2.0), (2, 1, 2.0)]
 
 
+@pytest.mark.parametrize("kind", ["large", "small", "offset", "outliers", "extreme"])
+def test_vectors_of_any_magnitude(spark, kind):
+    x = np.random.default_rng(6).normal(size=(400, 8))
+    x = {"large": x * 3e25, "small": x * 1e-24, "offset": x + 1e7, "outliers": x, "extreme": x * 1e200}[kind]
+    if kind == "outliers":
+        x[::50] *= 1e22
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in gs.nearest(rows, every=20).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r)
+    ids, unit = np.arange(len(x)), 1e200 if kind == "extreme" else 1.0
+    hits = 0
+    for query in range(0, 400, 20):
+        near, distance = brute(ids, x / unit, query)
+        assert len(found[query]) == 10 and all(math.isfinite(r.score) for r in found[query])
+        hits += len(set(near) & {r.vec_id for r in found[query]})
+        assert found[query][0].score == pytest.approx(distance[0] * unit, rel=1e-9)
+    assert hits >= 190
+
+
 def test_pruning_keeps_diverse_edges():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [0, 2.1]], np.float32)
     assert gs.robust_prune(points, 0, np.array([1, 2, 3, 4, 0, -1]), 1.0, 4).tolist() == [1, 3]
