@@ -1,12 +1,11 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are alike, and the groups they form.
 
 Documents by shingles is a sparse 0/1 matrix, and the overlaps of all pairs are its product with its own
-transpose. It is computed in blocks of columns (ranges of shingle hashes), and only where a bound that
-follows from the set sizes leaves a chance of reaching the threshold:
+transpose. That product is not computed and no overlap is accumulated over columns: candidates by prefix bounds that
+follow from the set sizes take its place. Blocks of columns (ranges of shingle hashes) only count in how many sets a column occurs:
 
 1. A pair above the threshold shares at least k + 1 of each side's first q + k shingles by hash, where
-   q = n - ceil(t n) + 1. Only these columns enter the first product. Its blocks count in how many sets a
-   column occurs; a document with k or fewer columns that occur elsewhere reaches no partner and is done.
+   q = n - ceil(t n) + 1. Only these columns are counted first; a document with k or fewer columns that occur elsewhere reaches no partner and is done.
 2. What is left is counted over whole sets. In order of frequency, rare first, a pair shares one of the
    first q columns: frequent passages fall behind that bound, and a document left with none is done. So is
    one whose shared columns, all together, are too few for the smallest set it meets in a column.
@@ -14,8 +13,7 @@ follows from the set sizes leaves a chance of reaching the threshold:
    typical one (fewest columns of its own) of the columns that agree most often. Pairs above the threshold link their
    groups, and columns inside one group propose nothing any more. A document x that is not linked with its hub h
    shares o columns with it; a partner y for which more than o are needed must share some of x's columns
-   outside h, so x meets these y in those few columns only, and their overlaps there are counted against the
-   bound. Smaller partners, and groups that meet in a column, are proposed in full across groups. No link between groups is lost.
+   outside h, so x meets these y in those few columns only, and each y that shares one of them is proposed. Smaller partners, and groups that meet in a column, are proposed in full across groups. No link between groups is lost.
 4. A proposed pair is decided by the overlap of the whole sets: a link if 100 * intersection >= 75 * union.
 
 Equal sets are one class, held once; copies are never expanded into pairs. Hot columns are combined
