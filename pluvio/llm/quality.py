@@ -230,7 +230,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_r
         for frame in batches:
             yield pd.DataFrame({"quality": frame["quality"].to_numpy(), "x": measure(frame["text"].tolist()).tolist()})
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    # Of a repeated id one text, so that the bound holds for rows too.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text"))).alias("first")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(first).select("quality", "first.text")
     sample = texts.mapInPandas(rows, "quality int, x array<double>").toPandas()
     if sample.empty:
         return Model()

@@ -153,7 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, prior
                 part = frame.iloc[first : first + number]
                 yield pd.DataFrame({"toxic": part["toxic"].to_numpy(), "same": part["same"].to_numpy(), "features": rows})
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text", F.xxhash64("text").alias("same"))
+    # Of a repeated id one text, so that the bounds hold for rows too.
+    first = F.min(F.struct(F.xxhash64("text").alias("same"), F.col("text").alias("text"))).alias("first")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(first)
+    texts = texts.select("toxic", "first.text", "first.same")
     # A text that was copied often is one example.
     sample = texts.mapInPandas(found, "toxic int, same long, features array<long>").dropDuplicates(["toxic", "same"])
     sample = stored(sample, "toxic-features")

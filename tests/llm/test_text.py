@@ -282,6 +282,17 @@ def test_toxic_words_are_learned_from_positives_and_unlabelled(spark):
     assert model.scores([]).shape == (0,)
 
 
+def test_a_repeated_id_is_one_example(spark, monkeypatch):
+    docs = documents(spark, marked(40, 4) + [(k, f"vile text {k} {j} {prose(j, 9)}", "s") for k in (4, 5) for j in range(60)])
+    labels = spark.createDataFrame([(k, k % 2, int(k % 4 == 0)) for k in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x)))
+    monkeypatch.setattr(toxicity, "fit", lambda rows, *rest: seen.append(len(rows)))
+    quality.train(docs, labels)
+    toxicity.train(docs, labels)
+    assert seen == [40, 50]
+
+
 def test_negative_risk_turns_the_gradient():
     # Every unlabelled text is toxic: without the correction the second term would run away below zero.
     model = toxicity.fit([np.array([0])] * 8, np.array([1, 1, 1, 1, 0, 0, 0, 0]), np.array([5], np.uint64), prior=0.4)
