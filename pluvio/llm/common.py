@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from functools import wraps
 from pathlib import Path
 
@@ -52,6 +52,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def byte_runs(texts: Sequence[bytes | None], limit: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The texts (empty for null) in runs of at most ``limit`` bytes, or of one text."""
+    run, size = [], 0
+    for text in texts:
+        data = text or b""
+        if run and size + len(data) > limit:
+            yield run
+            run, size = [], 0
+        run.append(data)
+        size += len(data)
+    if run:
+        yield run
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

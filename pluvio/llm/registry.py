@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pluvio.llm import fingerprints, graph_search, html_extract, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity
+from pluvio.llm import (
+    fill_middle, fingerprints, graph_search, html_extract, importance, line_dedup, mixing, ngram_join, packing, quality, sharding, simhash,
+    toxicity,
+)
 from pluvio.llm.common import held_out, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,11 +82,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.transform(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(back, 256)}
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[c.alias(name) for name, c in digests.items()])
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: on_workers(f)
     for f in (
         op1_quality, op2_ngram_join, op3_line_dedup, op4_html_extract, op5_packing,
         op6_graph_search, op7_fingerprints, op8_sharding, op9_mixing, op10_toxicity,
+        op11_importance, op12_fill_middle, op13_simhash,
     )
 }
 
@@ -156,4 +175,68 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, size, source_size, target, source,
                CAST(size * (whole + CASE WHEN rest > 0 AND upto - unit + unit / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM ordered""",
+    # CRC-32 by the step of each byte, on distinct words; the table of steps follows from the polynomial.
+    "op11_importance": r"""
+        WITH steps AS (
+          SELECT list(step ORDER BY byte) AS step FROM (
+            SELECT byte, list_reduce(list_prepend(byte, range(8)),
+                     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS step
+            FROM (SELECT unnest(range(256)) AS byte))),
+        texts AS (
+          SELECT TRUE AS own, doc_id, text FROM documents UNION ALL SELECT FALSE, NULL, text FROM benchmark),
+        listed AS (
+          SELECT row_number() OVER () AS r, own, doc_id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+          FROM texts),
+        used AS (SELECT r, own, unnest(w) AS word FROM listed),
+        hashed AS (
+          SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                     list_transform(range(1, len(hex(word)) + 1, 2), lambda i: CAST('0x' || hex(word)[i:i + 1] AS BIGINT))),
+                     lambda c, b: xor(c >> 8, step[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+          FROM (SELECT DISTINCT word FROM used), steps),
+        counted AS (
+          SELECT r, bucket, count(*) AS n, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+          FROM used JOIN hashed USING (word) GROUP BY r, bucket),
+        sums AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM counted GROUP BY bucket),
+        gains AS (
+          SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+          FROM sums),
+        weights AS (SELECT r, sum(n * gain) AS weight FROM counted JOIN gains USING (bucket) GROUP BY r),
+        scored AS (
+          SELECT doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                 CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+                   AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+          FROM listed LEFT JOIN weights USING (r) WHERE own),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                 count(*) FILTER (n_features >= 20) OVER () AS eligible
+          FROM scored)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+        FROM placed""",
+    "op12_fill_middle": r"""
+        WITH tokens AS (
+          SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+                 list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+          FROM documents),
+        cuts AS (
+          SELECT *, least(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS a, greatest(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+          FROM tokens),
+        parts AS (
+          SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:], '') AS suffix
+          FROM cuts),
+        outputs AS (
+          SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output
+          FROM parts),
+        marked AS (
+          SELECT *, instr(output, CASE form WHEN 'psm' THEN '<S>' ELSE '<P>' END) AS second, instr(output, '<M>') AS third FROM outputs)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN output
+                 WHEN 'psm' THEN output[4:second - 1] || output[third + 3:] || output[second + 3:third - 1]
+                 ELSE output[second + 3:third - 1] || output[third + 3:] || output[4:second - 1] END) AS restored_sha256
+        FROM marked""",
 }

@@ -54,3 +54,18 @@ def prose(seed, n):
 def edited(text, every, mark):
     """Every so many words replaced."""
     return " ".join(f"{mark}{k}" if k % every == every - 1 else w for k, w in enumerate(text.split()))
+
+
+def equals_sql(spark, name, sf_dir="/root/testdata/sf0.001"):
+    """Whether a registered query gives the rows of its SQL on the same tables."""
+    import duckdb
+
+    from pluvio.llm.registry import ORACLE, QUERIES
+
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "labels"):
+        con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+    found = QUERIES[name](spark, sf_dir)
+    expected = con.execute(f"select {', '.join(found.columns)} from ({ORACLE[name]})").fetchall()
+    con.close()
+    return sorted(map(str, expected)) == sorted(str(tuple(r)) for r in found.collect())
