@@ -17,39 +17,45 @@ whole, word by word. Columns besides doc_id and text are passed over; an empty t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import chain
-from operator import itemgetter
+from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 from string import punctuation
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pluvio.llm.common import WORD, ranked, stored
+from pluvio.llm.common import byte_runs, ranked, stored
 
 WINDOW = 2048
 TIERS = (256, 512, 1024, 2048)
 END_TOKEN = 1
 # Sequences of a step group.
 STEP_SEQUENCES = 64
-# Words whose ids a worker remembers, and the longest such word.
-MEMORY_WORDS, MEMORY_CHARS = 250_000, 48
-_WORDS = re.compile(WORD)
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-# Characters of texts whose new words are encoded together.
-LEARN_CHARS = 1 << 20
+# Units whose ids a worker remembers, and the longest such unit in bytes.
+MEMORY_UNITS, MEMORY_BYTES = 250_000, 48
+# Marks at the end of a word that are told from it.
+MOST_MARKS = 8
+# Bytes of texts whose units are looked up together.
+RUN_BYTES = 2 << 20
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(punctuation.encode())] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
 _worker: dict[str, tuple] = {}
 
 
 class WordTokenizer:
-    """Token ids of texts, for tokenizers that drop white space: the ids of a text are those of its words, and most words recur.
+    """Token ids of texts, for tokenizers that drop white space and part letters from marks.
 
-    Words of letters, without the marks after them, are encoded many to a call and told apart by the
-    vocabulary's word ends; the marks are a token run of their own. All other words are encoded one by one.
+    The ids of a text are those of its units: words between blanks, and of a word that ends in a letter and marks, the marks apart. Many texts
+    are cut into units at once, an Arrow dictionary tells the distinct ones, and only those are looked up or, if new, encoded; then the
+    runs of ids are gathered. Units of letters are encoded many to a call and told apart by the vocabulary's word ends, all others one by one.
     """
 
     def __init__(self, path: str):
@@ -59,85 +65,92 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.again: set[str] = set()
-
-    def _alone(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def words(self, text: str) -> list[str]:
-        # The tokenizer lower-cases too, letter by letter; two letters depend on what follows or become two.
-        if "\u0130" not in text and "\u03a3" not in text:
-            text = text.lower()
-        # split() takes four control characters for white space that the tokenizer does not.
-        return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
-
-    def _learn(self, words: list[str]) -> None:
-        tails, bare, alone = self.tails, self.bare, []
-        plain, marked = [], []
-        for word in words:
-            if word.isalpha():
-                plain.append(word)
-                continue
-            letters = word.rstrip(punctuation)
-            if letters.isalpha():
-                marked.append((word, letters, word[len(letters) :]))
-            else:
-                alone.append(word)
-        new = list({tail for _, _, tail in marked}.difference(tails))
-        tails.update(zip(new, self._alone(new)))
-        fresh = list({*plain, *[letters for _, letters, _ in marked]}.difference(bare))
-        for at in range(0, len(fresh), 4000):
-            part = fresh[at : at + 4000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            bounds = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            data = ids.tobytes()
-            found = [data[4 * i : 4 * j] for i, j in zip(bounds, bounds[1:])]
-            bare.update(zip(part, found if len(found) == len(part) else self._alone(part)))
-        known = self.known
-        for word in plain:
-            known[word] = bare[word]
-        for word, letters, tail in marked:
-            known[word] = bare[letters] + tails[tail]
-        known.update(zip(alone, self._alone(alone)))
-
-    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        group: list[list[str]] = []
-        size = 0
-        for text in texts:
-            group.append(self.words(text or ""))
-            size += len(text or "")
-            if size > LEARN_CHARS:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, group: list[list[str]]) -> Iterator[bytes]:
-        here = set(chain.from_iterable(group))
-        fresh = list(here.difference(self.known))
-        self._learn(fresh)
-        for words in group:
-            # itemgetter with a single name gives no tuple.
-            yield b"".join(itemgetter(*words)(self.known)) if len(words) > 1 else b"".join(self.known[w] for w in words)
-        self.again.update(here.difference(fresh))
-        for word in [w for w in fresh if len(w) > MEMORY_CHARS]:
-            letters = word.rstrip(punctuation)
-            self.known.pop(word, None)
-            self.bare.pop(letters, None)
-            self.tails.pop(word[len(letters) :], None)
-        if len(self.known) > MEMORY_WORDS:
-            self._forget()
+        # By code: where a unit's ids are, and whether it came again after the run that it was new in.
+        self.codes: dict[bytes, int] = {}
+        self.ids, self.bounds, self.again = np.empty(0, "<u4"), np.zeros(1, np.int64), np.empty(0, bool)
+
+    def _alone(self, units: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The ids of units one after another, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "<u4"), list(map(len, found))
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The same for words of letters, which are encoded as one text."""
+        ids, _ = self._alone([" ".join(words)])
+        ends = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(ends, prepend=-1).tolist()) if len(ends) == len(words) else self._alone(words)
+
+    def _known(self, units: list[bytes]) -> np.ndarray:
+        """The code of each unit."""
+        codes = np.fromiter(map(self.codes.get, units, repeat(-1)), np.int64, len(units))
+        self.again[codes[codes >= 0]] = True
+        new = np.flatnonzero(codes < 0).tolist()
+        if new:
+            texts = [units[i].decode() for i in new]
+            words, others = [k for k, t in enumerate(texts) if t.isalpha()], [k for k, t in enumerate(texts) if not t.isalpha()]
+            parts = [self._words([texts[k] for k in words[at : at + 4000]]) for at in range(0, len(words), 4000)]
+            parts.append(self._alone([texts[k] for k in others]))
+            at = np.array([new[k] for k in chain(words, others)], np.int64)
+            codes[at] = first = len(self.again) + np.arange(len(new))
+            self.ids = np.concatenate([self.ids, *[ids for ids, _ in parts]])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([n for _, sizes in parts for n in sizes])])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+            self.codes.update((units[i], c) for i, c in zip(at.tolist(), first.tolist()) if len(units[i]) <= MEMORY_BYTES)
+        return codes
 
     def _forget(self) -> None:
-        """Keeps the words that came in more than one group; most words never come again."""
-        self.known = {w: self.known[w] for w in self.again if w in self.known}
-        self.bare = {w: ids for w, ids in self.known.items() if w.isalpha()}
-        self.tails = {}
-        if len(self.again) > MEMORY_WORDS // 2:
-            self.again = set()
+        """Keeps the units that came again; most never do."""
+        kept = [(u, c) for u, c in self.codes.items() if self.again[c]]
+        if len(kept) > MEMORY_UNITS // 2:
+            kept = []
+        old = np.array([c for _, c in kept], np.int64)
+        sizes = self.bounds[old + 1] - self.bounds[old]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        self.ids = self.ids[np.repeat(self.bounds[old] - upto[:-1], sizes) + np.arange(upto[-1])]
+        self.bounds, self.again = upto, np.zeros(len(kept), bool)
+        self.codes = {u: i for i, (u, _) in enumerate(kept)}
+
+    def ids_of(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        for run in byte_runs([_lowered(t) for t in texts], RUN_BYTES):
+            yield from self._run(run)
+            if len(self.again) > MEMORY_UNITS:
+                self._forget()
+
+    def _run(self, run: list[bytes]) -> Iterator[np.ndarray]:
+        data = np.frombuffer(b"\n".join([*run, b""]), np.uint8)
+        white = _WHITE[data]
+        before = np.concatenate([[True], white[:-1]])
+        starts, ends = np.flatnonzero(~white & before), np.flatnonzero(white & ~before)
+        # Where a word's marks at its end begin; a word of more marks than that is not parted.
+        solid, left = ends.copy(), np.arange(len(ends))
+        for _ in range(MOST_MARKS + 1):
+            left = left[(solid[left] > starts[left]) & _MARK[data[solid[left] - 1]]]
+            solid[left] -= 1
+        parted = (solid < ends) & (solid > starts) & _LETTER[data[solid - 1]]
+        # A special token is a word's own matter.
+        special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+        parted[left] = parted[np.searchsorted(starts, special, side="right") - 1] = False
+        number = 1 + parted
+        upto = np.concatenate([[0], np.cumsum(number)])
+        begin, end, marks = np.repeat(starts, number), np.repeat(ends, number), upto[1:][parted] - 1
+        begin[marks] = end[marks - 1] = solid[parted]
+        bounds = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)
+        texts = upto[np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(t) + 1 for t in run])]))]
+        units = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(data[~white])]).dictionary_encode()
+        codes = self._known(units.dictionary.to_pylist())[units.indices.to_numpy()]
+        sizes = self.bounds[codes + 1] - self.bounds[codes]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.bounds[codes] - upto[:-1], sizes) + np.arange(upto[-1])]
+        for a, b in zip(upto[texts[:-1]].tolist(), upto[texts[1:]].tolist()):
+            yield ids[a:b]
+
+
+def _lowered(text: str | None) -> bytes:
+    """The tokenizer lower-cases too, letter by letter. A text stays as it is if it has one of two letters that depend on what follows or
+    become two, or the beginning of a special token, which counts only in lower case."""
+    text = text or ""
+    return (text if any(c in text for c in ("\u0130", "\u03a3", "<|")) else text.lower()).encode()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
@@ -146,15 +159,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFr
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if tokenizer_path not in _worker:
             _worker[tokenizer_path] = WordTokenizer(tokenizer_path)
-        tokenizer, end = _worker[tokenizer_path], np.array([END_TOKEN], "<u4").tobytes()
+        tokenizer, end = _worker[tokenizer_path], np.array([END_TOKEN], "<u4")
         for frame in batches:
             out = []
-            for doc_id, ids in zip(frame["doc_id"], tokenizer.ids(frame["text"].tolist())):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
+            for doc_id, ids in zip(frame["doc_id"].tolist(), tokenizer.ids_of(frame["text"].tolist())):
+                ids = np.append(ids, end)
+                for start in range(0, len(ids), window):
+                    part = ids[start : start + window]
+                    out.append((doc_id, start, len(part), zlib.crc32(part), len(ids)))
             yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     cut = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
