@@ -134,17 +134,18 @@ def rain_classes(daily: DataFrame, n: int = 30, meso: str | None = None, as_of=N
     return classes.orderBy(F.desc("qtd"), "precipitation_class")
 
 
-def latest_per_location(daily: DataFrame, meso: str | None = None) -> DataFrame:
-    """Last day of each location that has a mesoregion, with the marker size of the map."""
-    newest = Window.partitionBy("location_id").orderBy(F.desc("date"))
-    return (
-        in_mesoregion(daily.filter(F.col("mesoregion").isNotNull()), meso)
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter("_rank = 1")
-        .select(
-            "location_id", "city_name", "mesoregion", "latitude", "longitude", "temp_max_c", "precipitation_mm",
-            F.greatest(F.coalesce("precipitation_mm", F.lit(0.0)), F.lit(1.0)).alias("marker_size"),
-        )
+def latest_per_location(daily: DataFrame, meso: str | None = None, latest: DataFrame | None = None) -> DataFrame:
+    """Last day of each location that has a mesoregion, with the marker size of the map.
+
+    With the marts' table of ``latest`` readings no other is read.
+    """
+    last = in_mesoregion((daily if latest is None else latest).filter(F.col("mesoregion").isNotNull()), meso)
+    if latest is None:
+        newest = Window.partitionBy("location_id").orderBy(F.desc("date"))
+        last = last.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
+    return last.select(
+        "location_id", "city_name", "mesoregion", "latitude", "longitude", "temp_max_c", "precipitation_mm",
+        F.greatest(F.coalesce("precipitation_mm", F.lit(0.0)), F.lit(1.0)).alias("marker_size"),
     )
 
 

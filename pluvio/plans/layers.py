@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pluvio import schemas
-from pluvio.config import ROLLING_ROWS, Thresholds
+from pluvio.config import Thresholds
 from pluvio.functions.calendar import year_month
-from pluvio.operators.filters import as_date, latest_date
+from pluvio.operators.filters import latest_date
 from pluvio.operators.staging import stg_daily, stg_hourly
 from pluvio.plans.models import climate_alerts, daily_facts, dim_dates, hourly_facts, int_daily
+from pluvio.plans.state import CARRIED, horizon_of, latest_readings, window_states
 from pluvio.sources.scans import read_mart
-from pluvio.sources.sinks import (
-    drop_partitions, finish_replacing, replace_partitions, write_daily_facts, write_hourly_facts,
-)
+from pluvio.sources.sinks import write_clustered, write_daily_facts, write_hourly_facts
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,8 @@ class Marts:
     coverage: DataFrame
     # Newest date of the daily mart, stored beside it: reports need not look for it in the mart.
     as_of: Column
+    # The newest reading of each location.
+    latest: DataFrame
 
 
 def open_marts(spark: SparkSession, root: str) -> Marts:
@@ -34,55 +36,41 @@ def open_marts(spark: SparkSession, root: str) -> Marts:
         daily=read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS),
         hourly=read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS),
         alerts=read_mart(spark, f"{root}/alerts", schemas.ALERTS),
-        coverage=spark.read.schema(schemas.HOURLY_COVERAGE).parquet(f"{root}/hourly_coverage"),
+        coverage=read_mart(spark, f"{root}/hourly_coverage", schemas.STORED_COVERAGE).select(schemas.HOURLY_COVERAGE.fieldNames()),
         as_of=spark.read.schema("date date").parquet(f"{root}/newest").agg(F.max("date")).scalar(),
+        latest=spark.read.schema(schemas.LATEST_READINGS).parquet(f"{root}/latest"),
     )
 
 
+def coverage_of(hours: DataFrame) -> DataFrame:
+    return hours.groupBy("location_id", "city_name", "date").agg(F.count(F.lit(1)).alias("hours")).withColumn("year_month", year_month(F.col("date")))
+
+
+def write_coverage(hours: DataFrame, path: str) -> None:
+    write_clustered(coverage_of(hours), path, "year_month", ["city_name", "date"])
+
+
+def write_latest(spark: SparkSession, loc: DataFrame, root: str, horizon: dt.date | None) -> None:
+    """The newest readings, from the window states at the horizon, and the newest date with that horizon (null without readings)."""
+    states = spark.read.schema(schemas.WINDOW_STATE).parquet(f"{root}/window_state")
+    states = states.filter(F.lit(False) if horizon is None else F.col("before") == f"{horizon:%Y-%m}")
+    latest_readings(states, loc).write.mode("overwrite").parquet(f"{root}/latest")
+    latest = spark.read.schema(schemas.LATEST_READINGS).parquet(f"{root}/latest")
+    latest.agg(F.max("date").alias("date"), F.lit(horizon).cast("date").alias("horizon")).write.mode("overwrite").parquet(f"{root}/newest")
+
+
 def build_marts(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
                 thresholds: Thresholds = Thresholds()) -> Marts:
     """Full rebuild of the marts under ``root``. The alerts read the stored facts, not the whole chain again."""
     write_daily_facts(daily_facts(int_daily(stg_daily(raw_daily), loc)), f"{root}/daily_facts")
     stored = read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS)
     write_daily_facts(climate_alerts(stored, thresholds), f"{root}/alerts")
-    spark.range(1).select(latest_date(stored).alias("date")).write.mode("overwrite").parquet(f"{root}/newest")
+    horizon = spark.range(1).select(horizon_of(latest_date(stored))).first()[0]
+    states = window_states(stored.select("location_id", *CARRIED), F.lit(horizon).cast("date"))
+    write_clustered(states, f"{root}/window_state", "before", ["location_id"])
+    write_latest(spark, loc, root, horizon)
     write_hourly_facts(hourly_facts(stg_hourly(raw_hourly), loc), f"{root}/hourly_facts")
-    hours = read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS)
-    covered = hours.groupBy("location_id", "city_name", "date").agg(F.count(F.lit(1)).alias("hours"))
-    covered.sort("city_name").write.mode("overwrite").parquet(f"{root}/hourly_coverage")
-    return open_marts(spark, root)
-
-
-def refresh_daily(spark: SparkSession, raw_daily: DataFrame, loc: DataFrame, root: str, since,
-                  thresholds: Thresholds = Thresholds()) -> Marts:
-    """Daily facts and alerts of ``[since, ...)`` computed again, for readings that were added or corrected there.
-
-    The rolling means start from each location's last rows before ``since``, taken from the stored facts; of the
-    raw table only ``[since, ...)`` is read, and only months from that of ``since`` on are rewritten. A refresh that
-    was cut short is finished by the next one.
-    """
-    path, staging = f"{root}/daily_facts", f"{root}/daily_facts-staging"
-    cluster = ["location_id", "date"]
-    finish_replacing(spark, path, staging, schemas.DAILY_FACTS, "year_month", cluster)
-    first = as_date(since)
-    month = year_month(first)
-    stored = read_mart(spark, path, schemas.DAILY_FACTS)
-    fresh = stg_daily(raw_daily.filter(F.col("date") >= first))
-    newest = Window.partitionBy("location_id").orderBy(F.desc("date"))
-    before = stored.filter((F.col("date") < first) & (F.col("year_month") <= month)).select(fresh.columns)
-    before = before.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") < ROLLING_ROWS).drop("_rank")
-    facts = daily_facts(int_daily(before.unionByName(fresh), loc).filter(F.col("date") >= first))
-    same_month = stored.filter((F.col("year_month") == month) & (F.col("date") < first))
-    replace_partitions(facts.unionByName(same_month), path, staging, schemas.DAILY_FACTS, "year_month", cluster)
-    spark.range(1).select(latest_date(read_mart(spark, path, schemas.DAILY_FACTS)).alias("date")).write.mode("overwrite").parquet(f"{root}/newest")
-
-    later = read_mart(spark, path, schemas.DAILY_FACTS).filter(F.col("year_month") >= month)
-    alerts = climate_alerts(later, thresholds)
-    # Months left without any alert; at most one name a month comes to the driver.
-    old = read_mart(spark, f"{root}/alerts", schemas.ALERTS).filter(F.col("year_month") >= month)
-    emptied = [r[0] for r in old.select("year_month").distinct().join(alerts.select("year_month").distinct(), "year_month", "left_anti").collect()]
-    replace_partitions(alerts, f"{root}/alerts", f"{root}/alerts-staging", schemas.ALERTS, "year_month", cluster)
-    drop_partitions(spark, f"{root}/alerts", "year_month", sorted(emptied))
+    write_coverage(read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS), f"{root}/hourly_coverage")
     return open_marts(spark, root)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pluvio import schemas
@@ -20,13 +22,13 @@ def enrich(stg: DataFrame, loc: DataFrame) -> DataFrame:
     return with_geography(stg, small_side(loc.select("location_id", *DAILY_GEO)), DAILY_GEO)
 
 
-def int_daily(stg: DataFrame, loc: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
+def int_daily(stg: DataFrame, loc: DataFrame, rows: int = ROLLING_ROWS, key: str | Sequence[str] = "location_id") -> DataFrame:
     """Staging plus daylight, rolling means and geography.
 
     Dedup exchanges by (location, date); the rolling window's own exchange then moves at most one
     row per location and day.
     """
-    rolled = rolling_avg(stg, {"temp_avg_30d_c": "temp_avg_c", "precip_avg_30d_mm": "precipitation_mm"}, rows)
+    rolled = rolling_avg(stg, {"temp_avg_30d_c": "temp_avg_c", "precip_avg_30d_mm": "precipitation_mm"}, rows, key)
     daylight = climate.daylight_hours(F.col("sunrise_at"), F.col("sunset_at"))
     return enrich(rolled.withColumn("daylight_hours", daylight), loc)
 

@@ -13,9 +13,11 @@ from pluvio.operators import audit, filters as fl, joins, quality as dq, reports
 from pluvio.operators.rolling import rolling_avg
 from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourly
 from pluvio.plans import models
-from pluvio.plans.layers import Marts, build_marts, open_marts, refresh_daily, register_layers
+from pluvio.plans.layers import Marts, build_marts, open_marts, register_layers
+from pluvio.plans.refresh import refresh_daily, refresh_from
 from pluvio.session import configure, stored_state, work_dir
 from pluvio.sources import driver_tables, payloads, scans, sinks
+from pluvio.sources.versions import VersionedTable
 from pluvio.streaming.ingest import stream_ingest
 
 CITY = "Supplier#000000000"
@@ -23,6 +25,8 @@ CITIES = ["Supplier#000000000", "Supplier#000000001", "Supplier#000000002"]
 MESO = "ASIA"
 RELOAD = ("2000-01-01", "2000-03-31")
 REFRESH_FROM = "2000-01-15"
+LATE = {"date": ("1997-03-10", "1997-05-02"), "timestamp": ("2024-01-05", "2024-01-09")}
+TAIL = {"date": REFRESH_FROM, "timestamp": "2024-01-20"}
 INCREMENT_FROM = "2000-01-01 00:00:00"
 KEEP_DAILY = ["id", "latitude", "longitude"]
 KEEP_HOURLY = ["id", "latitude", "longitude", "elevation", "timezone"]
@@ -211,26 +215,28 @@ def _append_load(i: Inputs) -> DataFrame:
     return table
 
 
+def _table(i: Inputs, name: str, schema, day_of: str) -> VersionedTable:
+    folder = work_dir(i.spark, name)
+    return VersionedTable(i.spark, folder.split("/")[-1].replace("-", "_"), folder, schema, day_of, ["location_id", day_of])
+
+
 def _upsert(i: Inputs, raw: DataFrame, schema, key: str, keep: list[str]) -> DataFrame:
     """The morning's readings in a stored table, then the afternoon's upserted, twice."""
-    keys = ["location_id", key]
-    path, staging = work_dir(i.spark, "upsert"), work_dir(i.spark, "upsert-staging")
-    day = {"partition": "month", "day_of": key, "unit": "month"} if key == "date" else {"partition": "day", "day_of": key}
+    stored = _table(i, "upsert", schema, key)
     morning, afternoon = _polls(raw)
     for batch in (morning, afternoon, afternoon):
-        table = sinks.upsert_table(i.spark, path, batch, schema, staging, keys, keep, **day)
+        table = stored.upsert(batch, ["location_id", key], keep)
     return table
 
 
 def _reload(i: Inputs) -> DataFrame:
     """A stored table whose window is reloaded, twice."""
-    path = work_dir(i.spark, "reload")
-    i.raw_daily.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(path)
-    start, end = (F.lit(d).cast("date") for d in RELOAD)
-    batch = i.raw_daily.filter(F.col("date").between(start, end))
+    stored = _table(i, "reload", schemas.RAW_DAILY, "date")
+    stored.reload(i.raw_daily, "1900-01-01", unbounded=True)
+    batch = i.raw_daily.filter(F.col("date").between(*(F.lit(d).cast("date") for d in RELOAD)))
     batch = batch.withColumn("wind_speed_10m_max", F.col("wind_speed_10m_max") + 1)
     for _ in range(2):
-        table = sinks.reload_table(i.spark, path, batch, schemas.RAW_DAILY, *RELOAD)
+        table = stored.reload(batch, *RELOAD)
     return table
 
 
@@ -270,6 +276,35 @@ def _refresh(i: Inputs, mart: str) -> DataFrame:
     return getattr(marts, mart).drop(*WALL_CLOCK)
 
 
+def _propagated(i: Inputs) -> Marts:
+    """Marts that follow the loads of stored raw tables: late days in the middle, other values there and days that are none at first."""
+
+    def follow(root: str) -> None:
+        stored = {"date": _table(i, "raw_daily", schemas.RAW_DAILY, "date"), "timestamp": _table(i, "raw_hourly", schemas.RAW_HOURLY, "timestamp")}
+        raw = {"date": i.raw_daily, "timestamp": i.raw_hourly}
+        days = {c: F.col(c).cast("date") for c in raw}
+        late = {c: day.between(*(F.lit(d).cast("date") for d in LATE[c])) for c, day in days.items()}
+        wrong = {
+            "date": i.raw_daily.withColumn("temperature_2m_max", F.col("temperature_2m_max") + 9).filter(late["date"] & (F.day("date") % 2 == 0)),
+            "timestamp": i.raw_hourly.withColumn("temperature_2m", F.col("temperature_2m") + 9).filter(late["timestamp"]),
+        }
+        too_new = {
+            "date": i.raw_daily.filter(days["date"] >= F.lit(REFRESH_FROM).cast("date")).withColumn("date", F.add_months("date", 50)),
+            "timestamp": i.raw_hourly.limit(0),
+        }
+        for c, table in stored.items():
+            first = raw[c].filter(~late[c] & (days[c] < F.lit(TAIL[c]).cast("date")))
+            table.reload(first.unionByName(wrong[c]).unionByName(too_new[c]), "1900-01-01", unbounded=True)
+        build_marts(i.spark, stored["date"].rows(), stored["timestamp"].rows(), i.locations, root)
+        for c, table in stored.items():
+            table.reload(raw[c].filter(late[c]), *LATE[c])
+            refresh_from(table, i.locations, root)
+            table.reload(raw[c].filter(days[c] >= F.lit(TAIL[c]).cast("date")), TAIL[c], unbounded=True)
+            refresh_from(table, i.locations, root)
+
+    return open_marts(i.spark, i._once("propagated", follow))
+
+
 def _register_layers(i: Inputs) -> DataFrame:
     root = work_dir(i.spark, "layers")
     layers = register_layers(i.spark, i.raw_daily, i.raw_hourly, i.locations, root, root.split("/")[-1].replace("-", "_"),
@@ -366,6 +401,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "write_hourly_facts": _write_hourly,
     "refresh_daily_facts": lambda i: _refresh(i, "daily"),
     "refresh_alerts": lambda i: _refresh(i, "alerts"),
+    "propagate_daily_facts": lambda i: _propagated(i).daily.drop(*WALL_CLOCK),
+    "propagate_alerts": lambda i: _propagated(i).alerts.drop(*WALL_CLOCK),
+    "propagate_latest": lambda i: rp.latest_per_location(_propagated(i).daily, latest=_propagated(i).latest),
+    "propagate_hourly_facts": lambda i: _propagated(i).hourly.drop(*WALL_CLOCK),
+    "propagate_coverage": lambda i: _propagated(i).coverage,
     "register_layers": _register_layers,
     # projections and filters
     "stg_daily": lambda i: i.stg_daily.drop(*WALL_CLOCK),
@@ -418,7 +458,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "day_profile": lambda i: rp.day_profile(i.marts.hourly, CITY, coverage=i.marts.coverage),
     "history_profile": lambda i: rp.history_profile(i.marts.hourly, CITY, coverage=i.marts.coverage),
     "profile_diff_summary": lambda i: rp.diff_summary(_profile_diff(i)),
-    "map_extent": lambda i: rp.map_extent(rp.latest_per_location(i.marts.daily, MESO)),
+    "map_extent": lambda i: rp.map_extent(rp.latest_per_location(i.marts.daily, MESO, i.marts.latest)),
     "raw_row_counts": lambda i: audit.row_counts(daily=i.raw_daily, hourly=i.raw_hourly),
     "distinct_locations": lambda i: audit.distinct_locations(i.raw_daily),
     "rows_per_location": lambda i: audit.rows_per_location(i.raw_daily),
@@ -435,7 +475,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "coldest_cities_meso": lambda i: rp.coldest(i.marts.daily, 10, MESO, i.as_of),
     "rainiest_cities_meso": lambda i: rp.rainiest(i.marts.daily, 30, MESO, i.as_of),
     "rain_class_distribution_meso": lambda i: rp.rain_classes(i.marts.daily, 30, MESO, i.as_of),
-    "latest_per_location_meso": lambda i: rp.latest_per_location(i.marts.daily, MESO),
+    "latest_per_location_meso": lambda i: rp.latest_per_location(i.marts.daily, MESO, i.marts.latest),
     "alert_severity_kpis_meso": lambda i: rp.severity_kpis(i.marts.alerts, 30, MESO, None, i.as_of),
     "alerts_by_type_filtered": lambda i: rp.alerts_by_type(i.marts.alerts, 30, MESO, "high", i.as_of),
     "alerts_by_city_meso": lambda i: rp.alerts_by_city(i.marts.alerts, 30, MESO, None, i.as_of),
@@ -449,7 +489,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "rolling_temp_30": lambda i: _rolling(i, "temp_avg_30d_c", "temp_avg_c"),
     "rolling_precip_30": lambda i: _rolling(i, "precip_avg_30d_mm", "precipitation_mm"),
     "date_gaps": lambda i: audit.date_gaps(i.marts.daily, as_of=i.as_of),
-    "latest_per_location": lambda i: rp.latest_per_location(i.marts.daily),
+    "latest_per_location": lambda i: rp.latest_per_location(i.marts.daily, latest=i.marts.latest),
     # sorts and top-k
     "recent_alerts": lambda i: rp.recent_alerts(i.marts.alerts, as_of=i.as_of),
     "city_alerts": lambda i: rp.city_alerts(i.marts.alerts, CITY, as_of=i.as_of),

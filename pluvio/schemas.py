@@ -107,3 +107,17 @@ ALERTS = _struct(
 
 # Which hours the hourly mart holds: one row per location, city and date.
 HOURLY_COVERAGE = _struct(("location_id", _S), ("city_name", _S), ("date", _DATE), ("hours", T.LongType()))
+STORED_COVERAGE = T.StructType([*HOURLY_COVERAGE.fields, *_struct(("year_month", _S)).fields])
+
+# The last readings of a location before the month ``before``: how many, the oldest one's date, and the readings in order.
+WINDOW_STATE = _struct(
+    ("location_id", _S), ("n", _I), ("first", _DATE),
+    ("readings", T.ArrayType(_struct(("date", _DATE), ("temp_max_c", _D), ("temp_avg_c", _D), ("precipitation_mm", _D)))),
+    ("before", _S),
+)
+
+# The newest reading of each location.
+LATEST_READINGS = _struct(
+    ("location_id", _S), ("city_name", _S), ("mesoregion", _S), ("latitude", _D), ("longitude", _D), ("date", _DATE),
+    ("temp_max_c", _D), ("precipitation_mm", _D),
+)

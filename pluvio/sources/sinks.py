@@ -1,32 +1,27 @@
-"""Loads: append, upsert, window reload, truncate and the partitioned mart writes."""
+"""Loads: append, upsert, window reload, truncate and the partitioned mart writes. ``versions`` has the stored upsert and reload."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from pluvio.operators.filters import as_date
 from pluvio.operators.staging import dedup_latest
-from pluvio.sources.scans import read_if_present
 
 
-def _as_declared(df: DataFrame, schema: StructType) -> DataFrame:
+def as_declared(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def append_load(df: DataFrame, path: str, schema: StructType) -> DataFrame:
     """Append a batch with the declared schema and return the whole table."""
-    _as_declared(df, schema).write.mode("append").parquet(path)
+    as_declared(df, schema).write.mode("append").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def truncate_reload(df: DataFrame, path: str, schema: StructType, truncate: bool = True) -> DataFrame:
     """Load into an emptied table; with ``truncate=False`` the old rows stay. ``df`` must not read ``path``."""
-    _as_declared(df, schema).write.mode("overwrite" if truncate else "append").parquet(path)
+    as_declared(df, schema).write.mode("overwrite" if truncate else "append").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -71,40 +66,11 @@ def reload_window(target: DataFrame, batch: DataFrame, start, end, column: str =
     return target.filter(outside).unionByName(batch)
 
 
-def _require_dates(schema: StructType, column: str) -> None:
-    """Partition values come to the driver; days are bounded by the calendar, other values are not."""
-    if not isinstance(schema[column].dataType, DateType):
-        raise ValueError(f"a stored table is partitioned by a date, {column} is none")
-
-
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def reload_table(spark: SparkSession, path: str, batch: DataFrame, schema: StructType, start, end=None,
-                 column: str = "date", unbounded: bool = False) -> DataFrame:
-    """Window reload of a stored table with a folder per day; folders outside the window are not read.
-
-    Days of the window are overwritten from the batch, days the batch lacks are dropped; ``unbounded`` drops all
-    later days too. A batch row outside the window, or without a date, is an error and nothing is written: it would be
-    loaded again by each run. Running a load again, also after a failure, gives the same table.
-    """
-    _require_dates(schema, column)
-    inside = F.col(column) >= as_date(start)
-    if not unbounded:
-        inside = inside & (F.col(column) <= as_date(end))
-    fresh = _as_declared(batch, schema)
-    if not fresh.filter(~F.coalesce(inside, F.lit(False))).isEmpty():
-        raise ValueError(f"the batch has rows outside the window, or without a {column}")
-    table = read_if_present(spark, path, schema)
-    old_days = set() if table is None else set(touched_partitions(table.filter(inside), column))
-    emptied = old_days - set(touched_partitions(fresh, column))
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    drop_partitions(spark, path, column, sorted(emptied))
-    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
-
-
 def touched_partitions(batch: DataFrame, column: str) -> list:
     """Days of a batch: one per folder the write creates anyway."""
     return [row[0] for row in batch.select(column).distinct().collect()]
@@ -112,60 +78,32 @@ def touched_partitions(batch: DataFrame, column: str) -> list:
 
 def replace_from_staging(staged: DataFrame, path: str, column: str, cluster: Sequence[str]) -> None:
     """Overwrite the partitions present in ``staged``."""
-    _clustered(staged, column, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    clustered(staged, column, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         column
     ).parquet(path)
 
 
 def finish_replacing(spark: SparkSession, path: str, staging: str, schema: StructType, column: str, cluster: Sequence[str]) -> None:
     """If ``staging`` is complete, a run was cut short while it replaced folders: replace them from there and drop it."""
-    files, folder = _file_system(spark, staging)
-    if files.exists(_file_system(spark, f"{staging}/_SUCCESS")[1]):
+    files, folder = file_system(spark, staging)
+    if files.exists(file_system(spark, f"{staging}/_SUCCESS")[1]):
         replace_from_staging(spark.read.schema(schema).parquet(staging), path, column, cluster)
         files.delete(folder, True)
 
 
 def replace_partitions(rows: DataFrame, path: str, staging: str, schema: StructType, column: str, cluster: Sequence[str]) -> None:
     """Overwrite the partitions present in ``rows``, which may read ``path``: by way of a complete copy in ``staging``."""
-    _as_declared(rows, schema).write.mode("overwrite").parquet(staging)
+    as_declared(rows, schema).write.mode("overwrite").parquet(staging)
     finish_replacing(rows.sparkSession, path, staging, schema, column, cluster)
 
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
     for value in values:
-        files, folder = _file_system(spark, f"{path}/{column}={value}")
+        files, folder = file_system(spark, f"{path}/{column}={value}")
         files.delete(folder, True)
 
 
-def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, schema: StructType, staging: str, keys: Sequence[str],
-    keep: Sequence[str], partition: str, order: Sequence[str] = ("_extracted_at", "id"), day_of: str | None = None,
-    unit: str = "day",
-) -> DataFrame:
-    """Upsert into a table with a folder per day (or month), rewriting only those of the batch.
-
-    ``partition`` is one of the keys, or the first day of the ``unit`` that holds the key ``day_of``. A batch row without one of the keys is an error
-    and nothing is written. All rows of the touched folders are written to ``staging`` first. A run that was cut short while it
-    replaced folders is finished from there by the next one, which then merges its own batch.
-    """
-    if day_of is None and partition not in keys:
-        raise ValueError("the partition column must be one of the keys")
-    stored = schema if day_of is None else StructType([*schema.fields, StructField(partition, DateType())])
-    _require_dates(stored, partition)
-    cluster = [k for k in keys if k != partition]
-    finish_replacing(spark, path, staging, stored, partition, cluster)
-    if not batch.filter(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
-        raise ValueError(f"the batch has rows without one of its keys {list(keys)}")
-    fresh = _as_declared(batch, schema)
-    fresh = fresh if day_of is None else fresh.withColumn(partition, F.date_trunc(unit, F.col(day_of)).cast("date"))
-    table = read_if_present(spark, path, stored)
-    old = spark.createDataFrame([], stored) if table is None else table
-    touched = old.filter(F.col(partition).isin(touched_partitions(fresh, partition)))
-    replace_partitions(upsert(touched, fresh, keys, keep, order), path, staging, stored, partition, cluster)
-    return spark.read.schema(stored).parquet(path).select(schema.fieldNames())
-
-
-def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
     """Rows brought together by partition value, each task sorted by ``cluster``.
 
     The rebalance splits a hot month or day over several tasks and files, by the sizes the exchange measured:
@@ -174,16 +112,16 @@ def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFra
     return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
 
 
-def _write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
+def write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
     """One folder per partition value."""
-    _clustered(df, partition, cluster).write.mode("overwrite").partitionBy(partition).parquet(path)
+    clustered(df, partition, cluster).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def write_daily_facts(df: DataFrame, path: str) -> None:
     """Facts or alerts: a folder per month, clustered by location."""
-    _write_clustered(df, path, "year_month", ["location_id", "date"])
+    write_clustered(df, path, "year_month", ["location_id", "date"])
 
 
 def write_hourly_facts(df: DataFrame, path: str) -> None:
     """A folder per day, clustered by location and mesoregion."""
-    _write_clustered(df, path, "date", ["location_id", "mesoregion", "observed_at"])
+    write_clustered(df, path, "date", ["location_id", "mesoregion", "observed_at"])

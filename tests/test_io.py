@@ -10,6 +10,7 @@ from pluvio.operators.staging import dedup_latest
 from pluvio.plans.layers import build_marts, register_layers
 from pluvio.session import work_dir
 from pluvio.sources import payloads, scans, sinks
+from pluvio.sources.versions import VersionedTable
 from pluvio.streaming.ingest import stream_ingest
 
 DAY = dt.date(2024, 1, 1)
@@ -120,20 +121,28 @@ def test_upsert_twice_is_upsert_once(spark, rows):
     assert rows(sinks.upsert(once, batch, KEYS, KEEP)) == rows(once)
 
 
-def test_upsert_table_rewrites_only_touched_partitions(spark, rows):
-    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
-    tomorrow = DAY + dt.timedelta(days=1)
+def versioned(spark, schema=schemas.RAW_DAILY, day_of="date", unit="day"):
+    folder = work_dir(spark, "table")
+    return VersionedTable(spark, folder.split("/")[-1].replace("-", "_"), folder, schema, day_of, ["location_id", day_of], "part", unit)
+
+
+def files_of(table, day):
+    return {f for f in table.rows().inputFiles() if f"part={day}" in f}
 
-    def load(batch):
-        return sinks.upsert_table(spark, path, batch, schemas.RAW_DAILY, staging, KEYS, KEEP, "date")
 
-    load(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}))
-    untouched = {f for f in spark.read.parquet(path).inputFiles() if str(DAY) in f}
-    table = load(daily(spark, {"id": 3, "date": tomorrow, "rain_sum": 5.0}, {"id": 4, "date": tomorrow, "location_id": "b"}))
-    assert rows(table, "id", "rain_sum") == [(1, None), (2, 5.0), (4, None)]
-    assert untouched == {f for f in spark.read.parquet(path).inputFiles() if str(DAY) in f}
+def test_upsert_table_rewrites_only_touched_partitions(spark, rows):
+    table, tomorrow = versioned(spark), DAY + dt.timedelta(days=1)
+    assert table.rows().count() == 0 and not table.exists()
+    table.upsert(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}), KEYS, KEEP)
+    untouched = files_of(table, DAY)
+    table.upsert(daily(spark, {"id": 3, "date": tomorrow, "rain_sum": 5.0}, {"id": 4, "date": tomorrow, "location_id": "b"}), KEYS, KEEP)
+    assert rows(table.rows(), "id", "rain_sum") == [(1, None), (2, 5.0), (4, None)]
+    assert untouched and untouched == files_of(table, DAY)
+    assert rows(table.upsert(daily(spark), KEYS, KEEP), "id") == [(1,), (2,), (4,)]
+    with pytest.raises(ValueError):
+        table.upsert(daily(spark, {"id": 5}), ["location_id"], KEEP)
     with pytest.raises(ValueError):
-        sinks.upsert_table(spark, path, table, schemas.RAW_DAILY, staging, KEYS, KEEP, "rain_sum")
+        VersionedTable(spark, "t", "r", schemas.RAW_DAILY, "day", [])
 
 
 def test_reload_window_bounded_and_unbounded(spark, rows):
@@ -144,64 +153,96 @@ def test_reload_window_bounded_and_unbounded(spark, rows):
     assert rows(sinks.reload_window(target, batch, start, end, unbounded=True), "id") == [(0,), (99,)]
 
 
-def test_reload_of_a_stored_table(spark, rows):
-    path = work_dir(spark, "reload")
-    days = [DAY + dt.timedelta(days=k) for k in range(5)]
-
-    def reload(batch, start, end):
-        return sinks.reload_table(spark, path, batch, schemas.RAW_DAILY, start, end)
-
-    reload(daily(spark, *[{"id": k, "date": d} for k, d in enumerate(days)]), days[0], days[4])
-    outside = {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_reload_of_a_stored_table(spark, rows, unit):
+    table, days = versioned(spark, unit=unit), [DAY + dt.timedelta(days=k) for k in range(5)]
+    later_month = DAY + dt.timedelta(days=70)
+    table.reload(daily(spark, *[{"id": k, "date": d} for k, d in enumerate([*days, later_month])]), days[0], later_month)
+    outside = files_of(table, later_month.replace(day=1) if unit == "month" else later_month)
     batch = daily(spark, {"id": 99, "date": days[1]})
     for _ in range(2):  # day 2 has no new row
-        assert rows(reload(batch, days[1], days[2]), "id") == [(0,), (3,), (4,), (99,)]
-    assert outside == {f for f in spark.read.parquet(path).inputFiles() if str(days[0]) in f}
+        assert rows(table.reload(batch, days[1], days[2]), "id") == [(0,), (3,), (4,), (5,), (99,)]
+    assert outside and outside <= set(table.rows().inputFiles())
     for wrong in (days[4], None):
         with pytest.raises(ValueError):
-            reload(daily(spark, {"id": 77, "date": wrong}), days[1], days[2])
-    assert rows(spark.read.parquet(path), "id") == [(0,), (3,), (4,), (99,)]
-    table = sinks.reload_table(spark, path, batch, schemas.RAW_DAILY, days[1], unbounded=True)
-    assert rows(table, "id") == [(0,), (99,)]
-
-
-def test_upsert_cut_short_is_finished_by_the_next_run(spark, rows, monkeypatch):
-    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
-    tomorrow = DAY + dt.timedelta(days=1)
-
-    def load(batch):
-        return sinks.upsert_table(spark, path, batch, schemas.RAW_DAILY, staging, KEYS, KEEP, "date")
-
-    load(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}))
-    whole = sinks.replace_from_staging
-
-    def cut_short(staged, where, column, cluster):
-        whole(staged.limit(0), where, column, cluster)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/date={DAY}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            table.reload(daily(spark, {"id": 77, "date": wrong}), days[1], days[2])
+    assert rows(table.rows(), "id") == [(0,), (3,), (4,), (5,), (99,)]
+    assert rows(table.reload(daily(spark), days[3], days[4]), "id") == [(0,), (5,), (99,)]
+    assert rows(table.reload(batch, days[1], unbounded=True), "id") == [(0,), (99,)]
+
+
+def test_a_read_begun_before_a_load_returns_the_old_rows(spark, rows):
+    table, tomorrow = versioned(spark), DAY + dt.timedelta(days=1)
+    table.upsert(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}), KEYS, KEEP)
+    begun = table.rows()
+    table.upsert(daily(spark, {"id": 3, "rain_sum": 7.0}, {"id": 4, "location_id": "b", "date": tomorrow}), KEYS, KEEP)
+    assert rows(begun, "id", "rain_sum") == [(1, None), (2, None)]
+    assert rows(table.rows(), "id", "rain_sum") == [(1, 7.0), (2, None), (4, None)]
+    assert rows(spark.sql(f"select id from {table.name} where part = DATE'{DAY}'")) == [(1,)]
+    # The version before the last is gone by the next load, with what only it used.
+    files = set(begun.inputFiles())
+    table.upsert(daily(spark, {"id": 5, "date": tomorrow}, {"id": 6}), KEYS, KEEP)
+    assert rows(table.rows(), "id") == [(1,), (2,), (4,)]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table.root)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    left = set()
+    while listed.hasNext():
+        left.add(listed.next().getPath().toUri().getPath())
+    assert not any(f.removeprefix("file://") in left for f in files) and not any("_batch" in f for f in left)
+
+
+@pytest.mark.parametrize("step", ["_register", "_switch", "_clean"])
+def test_a_load_cut_short_leaves_a_whole_table(spark, rows, monkeypatch, step):
+    table, tomorrow = versioned(spark), DAY + dt.timedelta(days=1)
+    table.upsert(daily(spark, {"id": 1}, {"id": 2, "date": tomorrow}), KEYS, KEEP)
+
+    def lost(*args):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(sinks, "replace_from_staging", cut_short)
+        patch.setattr(VersionedTable, step, lost)
         with pytest.raises(RuntimeError):
-            load(daily(spark, {"id": 3, "location_id": "b"}))
-    assert rows(spark.read.schema(schemas.RAW_DAILY).parquet(path), "id") == [(2,)]  # a day is gone
-    table = load(daily(spark, {"id": 4, "location_id": "c", "date": tomorrow}))
-    assert rows(table, "id") == [(1,), (2,), (3,), (4,)]
+            table.upsert(daily(spark, {"id": 3, "location_id": "b"}, {"id": 4, "rain_sum": 1.0, "date": tomorrow}), KEYS, KEEP)
+    seen = [(1, None), (2, None)] if step != "_clean" else [(1, None), (2, 1.0), (3, None)]
+    assert rows(table.rows(), "id", "rain_sum") == seen
+    table.upsert(daily(spark, {"id": 5, "location_id": "c"}), KEYS, KEEP)
+    assert rows(table.rows(), "id", "rain_sum") == sorted([*seen, (5, None)])
+    # What the lost run wrote is removed, but for folders in use.
+    load_folders = {f.split("load=")[1].split("/")[0] for f in table.rows().inputFiles()}
+    table.upsert(daily(spark, {"id": 6, "location_id": "d"}), KEYS, KEEP)
+    assert len(spark.sql(f"show tables like '{table.name}__v*'").collect()) == 2 and load_folders
 
 
 def test_upsert_refuses_rows_without_a_key(spark, rows):
-    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    table = versioned(spark)
+    table.upsert(daily(spark, {"id": 1}), KEYS, KEEP)
     with pytest.raises(ValueError):
-        sinks.upsert_table(spark, path, daily(spark, {"id": 1, "date": None}), schemas.RAW_DAILY, staging, KEYS, KEEP, "date")
+        table.upsert(daily(spark, {"id": 2, "date": None}, {"id": 3, "rain_sum": 1.0}), KEYS, KEEP)
+    assert rows(table.rows(), "id", "rain_sum") == [(1, None)]
 
 
 def test_upsert_by_the_day_of_a_key(spark, rows):
-    path, staging = work_dir(spark, "table"), work_dir(spark, "staging")
+    table = versioned(spark, schemas.RAW_HOURLY, "timestamp")
     keys, keep = ["location_id", "timestamp"], ["id"]
     for batch in (hourly(spark, {"id": 1}, {"id": 2, "timestamp": later(days=1)}), hourly(spark, {"id": 3, "temperature_2m": 4.0})):
-        table = sinks.upsert_table(spark, path, batch, schemas.RAW_HOURLY, staging, keys, keep, "day", day_of="timestamp")
-    assert rows(table, "id", "temperature_2m") == [(1, 4.0), (2, None)]
+        table.upsert(batch, keys, keep)
+    assert rows(table.rows(), "id", "temperature_2m") == [(1, 4.0), (2, None)]
+    assert sorted(table.partitions()) == [str(DAY), str(DAY + dt.timedelta(days=1))]
+
+
+def test_a_load_computes_its_batch_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for frame in batches:
+            seen.add(len(frame))
+            yield frame
+
+    batch = daily(spark, *[{"id": k, "date": DAY + dt.timedelta(days=k)} for k in range(40)])
+    table = versioned(spark, unit="month")
+    table.upsert(batch.select("id", "location_id", "date").mapInPandas(counted, "id long, location_id string, date date").select(
+        *[F.col(f.name) if f.name in ("id", "location_id", "date") else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW_DAILY]), KEYS, KEEP)
+    assert seen.value == 40 and len(table.partitions()) == 2
 
 
 def test_marts_are_written_in_one_evaluation(spark):
