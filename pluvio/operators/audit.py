@@ -1,4 +1,4 @@
-"""Completeness counts over the raw tables."""
+"""Completeness counts over the raw tables, or over the load ledgers that stored ones keep (see ``sources.versions``)."""
 
 from __future__ import annotations
 
@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pluvio.operators.filters import as_date, last_n_days
 
 
+def _total(raw: DataFrame) -> Column:
+    """The number of raw rows, which a ledger has summed up in ``rows``."""
+    return (F.coalesce(F.sum("rows"), F.lit(0)) if "rows" in raw.columns else F.count(F.lit(1))).alias("total")
+
+
 def row_counts(**tables: DataFrame) -> DataFrame:
-    counts = [df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("total")) for name, df in tables.items()]
+    counts = [df.agg(F.lit(name).alias("table"), _total(df)) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -19,11 +24,11 @@ def distinct_locations(raw: DataFrame) -> DataFrame:
 
 
 def rows_per_location(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("location_id").agg(F.count(F.lit(1)).alias("total")).orderBy("location_id")
+    return _counted(raw).orderBy("location_id")
 
 
 def _counted(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("location_id").agg(F.count(F.lit(1)).alias("total"))
+    return raw.groupBy("location_id").agg(_total(raw))
 
 
 def fullest(raw: DataFrame) -> Column:

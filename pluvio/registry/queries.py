@@ -240,6 +240,30 @@ def _reload(i: Inputs) -> DataFrame:
     return table
 
 
+def _ledgers(i: Inputs) -> dict[str, DataFrame]:
+    """The load ledgers of stored raw tables after they were emptied, loaded, appended to and reloaded in part."""
+
+    def load(root: str) -> None:
+        for name, schema, day_of in (("raw_daily", schemas.RAW_DAILY, "date"), ("raw_hourly", schemas.RAW_HOURLY, "timestamp")):
+            raw, stored = getattr(i, name), _ledger_table(i, root, name, schema, day_of)
+            morning, afternoon = _polls(raw)
+            stored.truncate(afternoon)
+            stored.truncate(morning)
+            stored.append(afternoon)
+            stored.reload(raw.filter(F.to_date(day_of).between(*(F.lit(d).cast("date") for d in LATE[day_of]))), *LATE[day_of])
+
+    root = i._once("ledgers", load)
+    return {
+        "daily": _ledger_table(i, root, "raw_daily", schemas.RAW_DAILY, "date").ledger(),
+        "hourly": _ledger_table(i, root, "raw_hourly", schemas.RAW_HOURLY, "timestamp").ledger(),
+    }
+
+
+def _ledger_table(i: Inputs, root: str, name: str, schema, day_of: str) -> VersionedTable:
+    view = f"{root.split('/')[-1]}_{name}".replace("-", "_")
+    return VersionedTable(i.spark, view, f"{root}/{name}", schema, day_of, ["location_id", day_of])
+
+
 def _truncate_reload(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "truncate")
     morning, afternoon = _polls(i.raw_daily)
@@ -467,6 +491,17 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incomplete_hourly": lambda i: audit.incomplete(
         i.raw_hourly, audit.fullest(i.raw_hourly), "horas_coletadas", "horas_faltando", "horas_esperadas"),
     "incomplete_since_start": lambda i: audit.incomplete_since(i.raw_daily, i._bound(F.min), i._bound(F.max)),
+    # counts and freshness from the load ledgers
+    "ledger_row_counts": lambda i: audit.row_counts(**_ledgers(i)),
+    "ledger_distinct_locations": lambda i: audit.distinct_locations(_ledgers(i)["daily"]),
+    "ledger_rows_per_location": lambda i: audit.rows_per_location(_ledgers(i)["daily"]),
+    "ledger_incomplete_daily": lambda i: audit.incomplete(_ledgers(i)["daily"], audit.fullest(_ledgers(i)["daily"])),
+    "ledger_mismatched_hourly": lambda i: audit.mismatched(_ledgers(i)["hourly"], audit.fullest(_ledgers(i)["hourly"])),
+    "ledger_incomplete_hourly": lambda i: audit.incomplete(
+        _ledgers(i)["hourly"], audit.fullest(_ledgers(i)["hourly"]), "horas_coletadas", "horas_faltando", "horas_esperadas"),
+    "ledger_expected_latest": lambda i: joins.latest_load(i.locations, _ledgers(i)["daily"]),
+    "ledger_source_freshness": lambda i: dq.source_freshness(_ledgers(i), reduce(
+        DataFrame.unionByName, [df.select("_extracted_at") for df in _ledgers(i).values()]).agg(F.max("_extracted_at")).scalar()),
     # the same reports with the filters of the pages
     "home_kpis_meso": lambda i: rp.home_kpis(i.marts.daily, MESO, i.as_of),
     "alert_count_7d_meso": lambda i: rp.alert_count(i.marts.alerts, MESO, i.as_of),

@@ -7,6 +7,10 @@ then points the view there, in one statement of the catalog. So a load is seen e
 on with the old folders, and a run cut short before that statement leaves the old table. The version before the current one is
 kept for such reads; what neither of the two uses (older versions, runs cut short) is removed by the next load. One load at a
 time may write a table. The catalog holds which version counts, so it must outlive the session where the table shall.
+
+Beside its folders each load leaves its entries of the table's ledger: how many rows of each location a folder holds and when the
+newest of them was loaded. A folder never changes once written, so the ledger of a version is the entries of its folders, right after every kind
+of load; counts and freshness come from it without a look at the rows.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from pluvio.operators.filters import as_date
 from pluvio.operators.staging import dedup_latest
@@ -28,6 +32,7 @@ from pluvio.sources import sinks
 # Partitions named in one statement.
 _STATEMENT_PARTITIONS = 400
 _VERSION, _PREVIOUS = "pluvio.version", "pluvio.previous"
+_LEDGER = "_ledger"
 
 
 @dataclass(frozen=True)
@@ -35,7 +40,7 @@ class VersionedTable:
     """The table ``name`` (a view in the catalog) with its folders under ``root``.
 
     ``partition`` names the column with the first day of the ``unit`` that holds the date or time ``day_of``; the unit is fixed for good.
-    Rows of a folder are sorted by ``cluster``.
+    Rows of a folder are sorted by ``cluster``. The ledger counts rows by ``counted`` and keeps the newest ``mark``.
     """
 
     spark: SparkSession
@@ -46,6 +51,8 @@ class VersionedTable:
     cluster: Sequence[str]
     partition: str = "month"
     unit: str = "month"
+    counted: str = "location_id"
+    mark: str = "_extracted_at"
 
     def __post_init__(self) -> None:
         if self.day_of not in self.schema.fieldNames():
@@ -77,8 +84,8 @@ class VersionedTable:
         """Keys of the rows that the last load added, changed or removed: what differs between the two versions, in the folders where these differ."""
         columns, sides = self.schema.fieldNames(), []
         if self.exists():
-            now, before = (({}, None) if v is None else (_folders(self.spark, v), v) for v in (self._property(_VERSION), self._property(_PREVIOUS)))
-            touched = [dt.date.fromisoformat(v) for v in {**before[0], **now[0]} if before[0].get(v) != now[0].get(v)]
+            now, before = ((set(), None) if v is None else (_folders(self.spark, v), v) for v in (self._property(_VERSION), self._property(_PREVIOUS)))
+            touched = sorted({dt.date.fromisoformat(value) for value, _ in now[0] ^ before[0]})
             for (_, version), sign in ((now, 1), (before, -1)):
                 if version is not None:
                     rows = self.spark.table(version).filter(F.col(self.partition).isin(touched))
@@ -91,9 +98,27 @@ class VersionedTable:
     def unit_of(self, day) -> Column:
         return F.date_trunc(self.unit, as_date(day)).cast("date")
 
-    def partitions(self) -> dict[str, str]:
-        """The load that holds each partition value: one entry a folder, as many as the calendar has days or months."""
-        return _folders(self.spark, self._property(_VERSION)) if self.exists() else {}
+    def folders(self) -> set[tuple[str, str]]:
+        """(partition value, load) of each folder; values are days or months, and loads besides the first of a value come by appending."""
+        return _folders(self.spark, self._property(_VERSION)) if self.exists() else set()
+
+    def partitions(self) -> set[str]:
+        return {value for value, _ in self.folders()}
+
+    def ledger(self) -> DataFrame:
+        """The partition, location, number of ``rows`` and newest load of every folder's locations; no row of the table is read."""
+        fields = [StructField(self.partition, DateType()), self.schema[self.counted], StructField("rows", LongType()), self.schema[self.mark]]
+        folders = self.folders()
+        if not folders:
+            return self.spark.createDataFrame([], StructType(fields))
+        schema = StructType([*fields, StructField("load", StringType())])
+        entries = self.spark.read.schema(schema).option("basePath", f"{self.root}/{_LEDGER}").parquet(
+            *sorted({f"{self.root}/{_LEDGER}/load={load}" for _, load in folders})
+        )
+        live = self.spark.createDataFrame(sorted(folders), "value string, of string")
+        live = live.select(F.col("value").cast("date").alias("_value"), F.col("of").alias("_load"))
+        kept = entries.join(F.broadcast(live), (F.col(self.partition) == F.col("_value")) & (F.col("load") == F.col("_load")), "left_semi")
+        return kept.select([f.name for f in fields])
 
     def _property(self, key: str) -> str | None:
         """The version that the view names. Only its load is kept there: a table's name might look like a secret, which Spark would hide."""
@@ -101,29 +126,37 @@ class VersionedTable:
         load = {r["key"]: r["value"] for r in rows}.get(key)
         return f"{self.name}__v{load}" if load else None
 
-    def publish(self, rows: DataFrame, drop: Collection[str] = ()) -> DataFrame:
-        """Replace the partitions that ``rows`` (with their partition column) hold, and drop those named; return the table.
+    def publish(self, rows: DataFrame, drop: Collection[str] = (), replace: bool = True) -> DataFrame:
+        """Replace the partitions that ``rows`` (with their partition column) hold, or add to them, and drop those named; return the table.
 
         ``rows`` may read the table. Only the last statement changes what readers see.
         """
         load = uuid.uuid4().hex
         placed = sinks.as_declared(rows, self.stored_schema)
         sinks.clustered(placed, self.partition, self.cluster).write.partitionBy(self.partition).parquet(f"{self.root}/load={load}")
-        written = [name.split("=")[1] for name in _children(self.spark, f"{self.root}/load={load}", f"{self.partition}=")]
+        written = {name.split("=")[1] for name in _children(self.spark, f"{self.root}/load={load}", f"{self.partition}=")}
+        self._enter(load)
         current = self._property(_VERSION) if self.exists() else None
-        live = {value: of for value, of in self.partitions().items() if value not in drop} | dict.fromkeys(written, load)
+        gone = set(drop) | (written if replace else set())
+        live = {f for f in self.folders() if f[0] not in gone} | {(value, load) for value in written}
         version = f"{self.name}__v{load}"
         self._register(version, live)
         self._switch(version, current.rpartition("__v")[2] if current else "")
         self._clean(version, current)
         return self.rows()
 
-    def _register(self, version: str, live: dict[str, str]) -> None:
+    def _enter(self, load: str) -> None:
+        """The ledger's entries of a load, counted on the columns they need of what was written."""
+        written = self.spark.read.schema(self.stored_schema).parquet(f"{self.root}/load={load}")
+        counts = written.groupBy(self.partition, self.counted).agg(F.count(F.lit(1)).alias("rows"), F.max(self.mark).alias(self.mark))
+        counts.write.parquet(f"{self.root}/{_LEDGER}/load={load}")
+
+    def _register(self, version: str, live: set[tuple[str, str]]) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema)
         self.spark.sql(
             f"CREATE TABLE {version} ({columns}, `load` string) USING parquet PARTITIONED BY (`load`, `{self.partition}`) LOCATION '{self.root}'"
         )
-        named = [f"PARTITION (`load` = '{load}', `{self.partition}` = DATE'{value}')" for value, load in live.items()]
+        named = [f"PARTITION (`load` = '{load}', `{self.partition}` = DATE'{value}')" for value, load in sorted(live)]
         for at in range(0, len(named), _STATEMENT_PARTITIONS):
             self.spark.sql(f"ALTER TABLE {version} ADD {' '.join(named[at : at + _STATEMENT_PARTITIONS])}")
 
@@ -143,14 +176,17 @@ class VersionedTable:
         for name in {r.tableName for r in shown}:
             if name.lower() not in names:
                 self.spark.sql(f"DROP TABLE {database + '.' if database else ''}{name}")
-        used = {(load, value) for v in kept for value, load in _folders(self.spark, v).items()}
+        used = {folder for v in kept for folder in _folders(self.spark, v)}
         files, _ = sinks.file_system(self.spark, self.root)
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         for load in _children(self.spark, self.root, "load="):
             inside = _children(self.spark, f"{self.root}/{load}", f"{self.partition}=")
-            unused = [value for value in inside if (load.split("=")[1], value.split("=")[1]) not in used]
+            unused = [value for value in inside if (value.split("=")[1], load.split("=")[1]) not in used]
             for value in [""] if len(unused) == len(inside) else [f"/{v}" for v in unused]:
                 files.delete(path(f"{self.root}/{load}{value}"), True)
+        loads = {f"load={load}" for _, load in used} | {f"load={v.rpartition('__v')[2]}" for v in kept}
+        for load in set(_children(self.spark, f"{self.root}/{_LEDGER}", "load=")) - loads:
+            files.delete(path(f"{self.root}/{_LEDGER}/{load}"), True)
 
     def _staged(self, batch: DataFrame, required: Sequence[str], wrong: Column | None = None) -> tuple[DataFrame, list, str]:
         """The batch, stored once with its partition column, the partitions it touches and the folder.
@@ -182,7 +218,7 @@ class VersionedTable:
         if not touched:
             self._unstage(folder)
             return self.rows()
-        if not set(map(str, touched)) & set(self.partitions()):
+        if not set(map(str, touched)) & self.partitions():
             merged = dedup_latest(fresh, keys, order)
         else:
             merged = sinks.upsert(self.stored().filter(F.col(self.partition).isin(touched)), fresh, keys, keep, order)
@@ -190,6 +226,20 @@ class VersionedTable:
         self._unstage(folder)
         return table
 
+    def append(self, batch: DataFrame) -> DataFrame:
+        """Add a batch in folders of its own. A row without its day is an error."""
+        fresh, touched, folder = self._staged(batch, [self.day_of])
+        table = self.publish(fresh, replace=False) if touched else self.rows()
+        self._unstage(folder)
+        return table
+
+    def truncate(self, batch: DataFrame) -> DataFrame:
+        """Replace the whole table by a batch."""
+        fresh, _, folder = self._staged(batch, [self.day_of])
+        table = self.publish(fresh, drop=self.partitions())
+        self._unstage(folder)
+        return table
+
     def reload(self, batch: DataFrame, start, end=None, unbounded: bool = False) -> DataFrame:
         """Drop the rows of ``[start, end]`` (``unbounded``: and all later ones) and add the batch, which must lie inside.
 
@@ -214,7 +264,7 @@ def _children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(path) if s.getPath().getName().startswith(prefix)] if files.exists(path) else []
 
 
-def _folders(spark: SparkSession, version: str) -> dict[str, str]:
-    """The load of each partition value of a version."""
+def _folders(spark: SparkSession, version: str) -> set[tuple[str, str]]:
+    """(partition value, load) of each folder of a version."""
     parts = [r.partition.split("/") for r in spark.sql(f"SHOW PARTITIONS {version}").collect()]
-    return {value.split("=")[1]: load.split("=")[1] for load, value in parts}
+    return {(value.split("=")[1], load.split("=")[1]) for load, value in parts}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio import schemas
-from pluvio.operators import filters as fl, joins, reports as rp
+from pluvio.operators import audit, filters as fl, joins, reports as rp
 from pluvio.operators.staging import dedup_latest
 from pluvio.plans.layers import build_marts, register_layers
 from pluvio.session import work_dir
@@ -227,7 +227,34 @@ def test_upsert_by_the_day_of_a_key(spark, rows):
     for batch in (hourly(spark, {"id": 1}, {"id": 2, "timestamp": later(days=1)}), hourly(spark, {"id": 3, "temperature_2m": 4.0})):
         table.upsert(batch, keys, keep)
     assert rows(table.rows(), "id", "temperature_2m") == [(1, 4.0), (2, None)]
-    assert sorted(table.partitions()) == [str(DAY), str(DAY + dt.timedelta(days=1))]
+    assert table.partitions() == {str(DAY), str(DAY + dt.timedelta(days=1))}
+
+
+def test_the_ledger_equals_the_rows_after_every_kind_of_load(spark, rows):
+    table, month = versioned(spark, unit="month"), DAY + dt.timedelta(days=40)
+    loads = [
+        lambda: table.append(daily(spark, {"id": 1}, {"id": 2, "location_id": "b", "_extracted_at": later(hours=1)}, {"id": 3, "date": month})),
+        lambda: table.append(daily(spark, {"id": 4}, {"id": 5, "location_id": None, "date": month, "_extracted_at": None})),
+        lambda: table.upsert(daily(spark, {"id": 6, "_extracted_at": later(hours=3)}, {"id": 7, "location_id": "c"}), KEYS, KEEP),
+        lambda: table.reload(daily(spark, {"id": 8, "date": month}, {"id": 8, "date": month}), month, month),
+        lambda: table.reload(daily(spark), DAY, DAY),
+        lambda: table.append(daily(spark)),
+        lambda: table.truncate(daily(spark, {"id": 9, "location_id": "z"})),
+        lambda: table.truncate(daily(spark)),
+    ]
+    assert table.ledger().count() == 0
+    counts = []
+    for load in loads:
+        load()
+        scan = table.stored().groupBy("part", "location_id").agg(F.count(F.lit(1)).alias("rows"), F.max("_extracted_at").alias("_extracted_at"))
+        found = table.ledger().groupBy("part", "location_id").agg(F.sum("rows").alias("rows"), F.max("_extracted_at").alias("_extracted_at"))
+        assert rows(found) == rows(scan)
+        assert all("/_ledger/" in f for f in found.inputFiles())
+        for ask in (audit.rows_per_location, audit.distinct_locations, lambda df: audit.row_counts(raw=df), lambda df: audit.incomplete(df, 3),
+                    lambda df: audit.mismatched(df, 2), lambda df: joins.latest_load(locations(spark, "a", "q"), df)):
+            assert rows(ask(table.ledger())) == rows(ask(table.rows()))
+        counts.append(table.rows().count())
+    assert counts == [3, 5, 6, 6, 2, 2, 1, 0]
 
 
 def test_a_load_computes_its_batch_once(spark):

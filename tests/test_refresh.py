@@ -90,7 +90,7 @@ def test_loads_one_after_another_equal_a_rebuild(spark, rows, world):
 def test_only_what_is_reached_is_read_and_written(spark, rows, world):
     raw, hours, loc, root = world
     files = lambda table: set(glob.glob(f"{root}/{table}/*/*.parquet"))
-    before = {t: files(t) for t in ("daily_facts", "alerts", "window_state", "hourly_facts")}
+    before = {t: files(t) for t in ("daily_facts", "alerts", "window_state", "hourly_facts", "hourly_coverage")}
     raw.upsert(daily(spark, reading("a", 62, 2.0)), ["location_id", "date"], [])
     changed = raw.changes(["location_id", "date"])
     assert rows(changed) == [("a", day(62))]
@@ -101,17 +101,15 @@ def test_only_what_is_reached_is_read_and_written(spark, rows, world):
     refresh.refresh_from(raw, loc, root)
     touched = {t: {f.split("=")[1].split("/")[0] for f in before[t] - files(t)} for t in before}
     assert touched["daily_facts"] == {"2024-03", "2024-04"} and touched["window_state"] == {"2024-04"}
-    assert touched["alerts"] <= {"2024-03", "2024-04"} and not touched["hourly_facts"]
-
-
-def test_hourly_days_and_coverage_months(spark, rows, world):
-    raw, hours, loc, root = world
-    files = lambda table: set(glob.glob(f"{root}/{table}/*/*.parquet"))
-    before = {t: files(t) for t in ("hourly_facts", "hourly_coverage")}
+    assert touched["alerts"] <= {"2024-03", "2024-04"} and not touched["hourly_facts"] and not touched["hourly_coverage"]
     hours.upsert(hourly(spark, {"id": 1, "timestamp": later(days=33), "temperature_2m": 5.0}), ["location_id", "timestamp"], [])
-    refresh.refresh_from(hours, loc, root)
+    marts = refresh.refresh_from(hours, loc, root)
     touched = {t: {f.split("=")[1].split("/")[0] for f in before[t] - files(t)} for t in before}
-    assert touched == {"hourly_facts": {str((later(days=33)).date())}, "hourly_coverage": {"2024-02"}}
+    assert touched["hourly_facts"] == {str(later(days=33).date())} and touched["hourly_coverage"] == {"2024-02"}
+    # The map reads no facts.
+    report = rp.latest_per_location(marts.daily, latest=marts.latest)
+    assert all("/latest/" in f for f in report.inputFiles()) and all("/latest/" in f for f in rp.map_extent(report).inputFiles())
+    assert rows(report, "location_id") == [("a",), ("b",), ("c",)]
 
 
 @pytest.mark.parametrize("table", ["daily_facts", "window_state"])
@@ -153,16 +151,9 @@ def test_refresh_since_a_day(spark, rows, world):
     equal_to_rebuilt(spark, rows, raw, hours, loc, root)
 
 
-def test_the_map_reads_no_facts(spark, world, rows):
-    marts = open_marts(spark, world[3])
-    report = rp.latest_per_location(marts.daily, latest=marts.latest)
-    assert all("/latest/" in f for f in report.inputFiles()) and all("/latest/" in f for f in rp.map_extent(report).inputFiles())
-    assert rows(report) == rows(rp.latest_per_location(marts.daily))
-    assert rows(report, "location_id") == [("a",), ("b",), ("c",)]
-
-
-def test_changed_keys_of_a_load(spark, rows, world):
-    raw = world[0]
+def test_changed_keys_of_a_load(spark, rows):
+    raw = table_of(spark, schemas.RAW_DAILY, "date")
+    raw.upsert(daily(spark, *[reading(s, n) for s in "abc" for n in range(5)]), ["location_id", "date"], [])
     raw.upsert(daily(spark, reading("a", 1), reading("a", 2, 7.0), reading("e", 3)), ["location_id", "date"], [])
     # The first is as it was.
     assert rows(raw.changes(["location_id", "date"])) == [("a", day(2)), ("e", day(3))]
