@@ -10,10 +10,10 @@ follow from the set sizes take its place. Blocks of columns (ranges of shingle h
    first q columns: frequent passages fall behind that bound, and a document left with none is done. So is
    one whose shared columns, all together, are too few for the smallest set it meets in a column.
 3. Columns propose pairs. Instead of all pairs of a column, each document is first held against one: the most
-   typical one (fewest columns of its own) of the columns that agree most often. Pairs above the threshold link their
+   typical one (columns in most sets, on average) of the columns that agree most often. Pairs above the threshold link their
    groups, and columns inside one group propose nothing any more. A document x that is not linked with its hub h
-   shares o columns with it; a partner y for which more than o are needed must share some of x's columns
-   outside h, so x meets these y in those few columns only, and each y that shares one of them is proposed. Smaller partners, and groups that meet in a column, are proposed in full across groups. No link between groups is lost.
+   shares o columns with it; a partner y for which o + d are needed must share d of x's columns
+   outside h, so x meets those y of other groups in its rarest such columns only, all but d - 1, and each y that shares one of them is proposed. Smaller partners, and groups that meet in a column, are proposed in full across groups. No link between groups is lost.
 4. A proposed pair is decided by the overlap of the whole sets: a link if 100 * intersection >= 75 * union.
 
 Equal sets are one class, held once; copies are never expanded into pairs. Hot columns are combined
@@ -184,24 +184,26 @@ def reachable(table: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def postings(table: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(column, cls, n, shared) for the first columns, rare first, that other sets have too (step 2).
+    """(column, cls, n, shared, typical) for the first columns, rare first, that other sets have too (step 2).
 
-    ``shared`` is how many columns of the set occur elsewhere: no overlap is larger.
+    ``shared`` is how many columns of the set occur elsewhere: no overlap is larger. ``typical`` is in how many sets its columns
+    occur on average (in thousandths): what copies changed is rarer than what they kept.
     """
 
     def decide(row, values, counts):
         rare = np.lexsort((values, counts))[: first_columns(row.n, threshold)]
         kept, shared = values[rare[counts[rare] > 1]].view(np.int64), int((counts > 1).sum())
-        return (row.cls, row.n, shared, kept.tolist()) if len(kept) and shared >= least_overlap(row.n, threshold) else None
+        typical = int(counts.sum()) * 1000 // row.n
+        return (row.cls, row.n, shared, typical, kept.tolist()) if len(kept) and shared >= least_overlap(row.n, threshold) else None
 
     total = table.agg(F.sum("n")).first()[0] or 0
-    found = _with_frequencies(table, 8, total, decide, "cls string, n long, shared long, first array<long>")
-    posts = stored(found.select(F.explode("first").alias("column"), "cls", "n", "shared"), "postings")
+    found = _with_frequencies(table, 8, total, decide, "cls string, n long, shared long, typical long, first array<long>")
+    posts = stored(found.select(F.explode("first").alias("column"), "cls", "n", "shared", "typical"), "postings")
     smallest = posts.groupBy("column").agg(F.min("n").alias("smallest"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     smallest = smallest.select(F.col("column").alias("_column"), "smallest")
     least = f"greatest(smallest, {_ceil_share('n', threshold)})"
     kept = posts.join(smallest, posts["column"] == smallest["_column"]).filter(f"shared >= {_needed('n', least, threshold)}")
-    return kept.select("column", "cls", "n", "shared")
+    return kept.select("column", "cls", "n", "shared", "typical")
 
 
 def _ceil_share(n: str, threshold: int) -> str:
@@ -232,7 +234,7 @@ def linked_pairs(met: DataFrame, threshold: int) -> DataFrame:
 
 def hub_pairs(posts: DataFrame, threshold: int) -> DataFrame:
     """(a, b): each document and the most typical document of the columns that agree most often."""
-    pick = F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), F.col("cls").alias("hub"), F.col("n").alias("hub_n")))
+    pick = F.max(F.struct("typical", F.col("cls").alias("hub"), F.col("n").alias("hub_n")))
     of_column = posts.groupBy(F.col("column").alias("_column")).agg(pick.alias("pick")).select("_column", "pick.hub", "pick.hub_n")
     met = posts.join(of_column, posts["column"] == of_column["_column"])
     met = met.filter((F.col("cls") != F.col("hub")) & close_sizes(F.col("n"), F.col("hub_n"), threshold))
@@ -251,26 +253,38 @@ def columns_of(whole: DataFrame) -> DataFrame:
     return unpacked.select("cls", "n", F.explode("columns").alias("column"))
 
 
-def outside_pairs(unlinked: DataFrame, whole: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): documents not linked with their hub, and those that share enough of their columns outside the hub."""
+def outside_holders(unlinked: DataFrame, whole: DataFrame) -> DataFrame:
+    """(column, cls, n): the documents that have the columns that unlinked ones have outside their hub."""
+    meant = small_side(unlinked.select(F.explode("outside").alias("column")).distinct())
+    return columns_of(whole).join(meant, "column", "left_semi").distinct()
+
+
+def _labelled(rows: DataFrame, cls: str, labels: DataFrame, name: str) -> DataFrame:
+    of = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    return rows.join(of, F.col(cls) == F.col("_node"), "left").withColumn(name, F.coalesce("_label", cls)).drop("_node", "_label")
+
+
+def outside_pairs(unlinked: DataFrame, holders: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): documents not linked with their hub, and those of other groups that share enough of their columns outside the hub."""
     # ``small``: a partner of more columns needs more than the overlap with the hub; ``more``: at least so many from outside.
     x = unlinked.withColumn("more", F.expr(f"{_needed('n_a', f'greatest(small + 1, {_ceil_share('n_a', threshold)})', threshold)} - both"))
     sought = x.select("a", "n_a", "both", "small", "more", F.explode("outside").alias("column"))
-    meant = small_side(sought.select("column").distinct())
-    found = stored(columns_of(whole).join(meant, "column", "left_semi").distinct(), "outside-columns")
-    often = found.groupBy("column").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    often = holders.groupBy("column").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # Of e outside columns that others have, a partner shares one of the e - more + 1 rarest.
     ranked = sought.join(often, "column").withColumns({
         "place": F.row_number().over(W.partitionBy("a").orderBy("often", "column")),
         "e": F.count(F.lit(1)).over(W.partitionBy("a")),
     })
-    rare = ranked.filter("place <= e - more + 1").select(F.col("column").alias("_column"), "a", "n_a", "small")
-    label = lambda side: labels.select(F.col("node").alias(f"_{side}"), F.col("label").alias(f"label_{side}"))
-    met = found.join(rare, (F.col("column") == F.col("_column")) & (F.col("cls") != F.col("a")) & (F.col("n") > F.col("small"))
-                     & close_sizes(F.col("n"), F.col("n_a"), threshold))
-    pairs = met.select("a", F.col("cls").alias("b")).distinct()
-    pairs = pairs.join(label("a"), F.col("a") == F.col("_a"), "left").join(label("b"), F.col("b") == F.col("_b"), "left")
-    return pairs.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    rare = ranked.filter("place <= e - more + 1").select(F.col("column").alias("_column"), "a", "n_a", "small", "both", "place", "e")
+    # A column that one group holds alone proposes nothing.
+    found = stored(_labelled(holders, "cls", labels, "label"), "labelled-holders")
+    mixed = found.groupBy("column").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter("one <> other")
+    rare = _labelled(rare.join(mixed.select(F.col("column").alias("_column")), "_column", "left_semi"), "a", labels, "label_a")
+    # The larger the partner, the more it must share, and the fewer columns are rare enough to be the first.
+    first_of = F.col("place") <= F.col("e") - F.expr(_needed("n_a", "n", threshold)) + F.col("both") + 1
+    met = found.join(rare, (F.col("column") == F.col("_column")) & (F.col("label") != F.col("label_a"))
+                     & (F.col("n") > F.col("small")) & close_sizes(F.col("n"), F.col("n_a"), threshold) & first_of)
+    return met.select("a", F.col("cls").alias("b")).distinct()
 
 
 def across_pairs(posts: DataFrame, unlinked: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
@@ -315,7 +329,8 @@ def linked(posts: DataFrame, whole: DataFrame, threshold: int = THRESHOLD) -> Da
     unlinked = stored(unlinked, "unlinked")
     # A document without a column left in step 2 is no one's partner.
     partners = whole.join(small_side(posts.select("cls").distinct()), "cls", "left_semi")
-    pairs = outside_pairs(unlinked, partners, labels, threshold).union(across_pairs(posts, unlinked, labels, threshold))
+    holders = stored(outside_holders(unlinked, partners), "outside-columns")
+    pairs = outside_pairs(unlinked, holders, labels, threshold).union(across_pairs(posts, unlinked, labels, threshold))
     pairs = stored(pairs.distinct(), "pairs")
     if pairs.isEmpty():
         return labels
