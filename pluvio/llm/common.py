@@ -66,6 +66,12 @@ def byte_runs(texts: Sequence[bytes | None], limit: int = 1 << 20) -> Iterator[l
         yield run
 
 
+def set_apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns of these names called otherwise, and the columns that bring all of its own back under their names."""
+    other = {c: f"{c}__{i}" for i, c in enumerate(docs.columns) if c.lower() in names}
+    return docs.withColumnsRenamed(other), [F.col(f"`{other.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

@@ -7,14 +7,15 @@ lines boilerplate.
 
 Lines are compared without white space at their ends; blank lines always stay, kept lines stay as they are
 and in order. A null site is a site of its own; a null text is no page and stays null; an empty text is a
-page without lines. Other columns pass through.
+page without lines. Other columns pass through, whatever their names; repeated rows stay, each. Very long texts are
+taken whole. Without documents there are no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pluvio.llm.common import stored
+from pluvio.llm.common import set_apart, stored
 from pluvio.operators.joins import small_side
 
 RATIO = 0.05
@@ -48,16 +49,22 @@ def boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO, min
     return often.groupBy("site").agg(F.concat_ws(",", F.sort_array(F.collect_list("key"))).alias("keys"))
 
 
-def drop_lines(docs: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and ``_lines`` and ``_dropped`` counted. The texts are not shuffled while the keys are few."""
+def drop_lines(docs: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = True) -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text``. The texts are not shuffled while the keys are few.
+
+    With ``counts`` the columns ``_lines`` and ``_dropped`` are added, in place of columns of these names.
+    """
     found = stored(boilerplate(docs, site, ratio, min_pages), "boilerplate")
     found = found.select(F.col("site").alias("_site"), F.col("keys").alias("_keys"))
-    joined = docs.join(small_side(found), docs[site].eqNullSafe(F.col("_site")), "left")
+    shielded, own = set_apart(docs, "_site", "_keys", "_kept", "_lines", "_dropped")
+    joined = shielded.join(small_side(found), shielded[site].eqNullSafe(F.col("_site")), "left")
     lines = lines_of(F.col("text"))
     kept = F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.col("_keys").contains(line_key(line))))
     joined = joined.withColumn("_kept", kept).withColumn("_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
     dropped = F.col("_lines") - F.coalesce(F.size("_kept"), F.lit(0))
     text = F.when(F.col("text").isNotNull(), F.array_join("_kept", "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    columns = [text.alias("text") if c == "text" else column for c, column in zip(docs.columns, own) if not counts or c.lower() not in ("_lines", "_dropped")]
+    if not counts:
+        return joined.select(columns)
     return joined.select(*columns, F.when(F.col("text").isNull(), 0).otherwise(F.col("_lines")).cast("long").alias("_lines"),
                          F.when(F.col("text").isNull(), 0).otherwise(dropped).cast("long").alias("_dropped"))

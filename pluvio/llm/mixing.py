@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from pluvio.llm.common import seeded_key, stored, word_count
+from pluvio.llm.common import seeded_key, set_apart, stored, word_count
 from pluvio.operators.joins import small_side
 
 SEED = "mix-1"
@@ -107,7 +107,8 @@ def with_repeats(docs: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFram
 
 
 def mix(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), budget: float = 1.5, max_epochs: float = 2.0, seed: str = SEED) -> DataFrame:
-    """The mixture itself: every row of ``docs`` as many times as it is taken."""
-    repeated = with_repeats(docs, plan_mixture(sized(docs, seed), cycle, budget, max_epochs), seed)
+    """The mixture itself: every row of ``docs`` as many times as it is taken. Its columns stay, whatever their names."""
+    shielded, own = set_apart(docs, "_source", "_source_size", "_target", "_whole", "_cutoff", "_repeats", "_copy")
+    repeated = with_repeats(shielded, plan_mixture(sized(docs, seed), cycle, budget, max_epochs), seed)
     copies = repeated.filter(F.col("_repeats") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return copies.select(own)

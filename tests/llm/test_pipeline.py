@@ -111,3 +111,13 @@ def test_stages_on_odd_rows(spark):
             if name == "ngram_join":
                 assert Counter(r.doc_id for r in docs.collect()) == (Counter([1, 2, 3, 4, None]) if given else Counter())
         assert (docs.count() > 0) == bool(given)
+
+
+def test_columns_named_like_the_stages_own_stay(spark):
+    names = ["_toxic", "_site", "_keys", "_kept", "_lines", "_dropped", "_source", "_source_size", "_target", "_whole", "_cutoff", "_repeats", "_copy"]
+    docs = documents(spark, [(i, f"line {i}\ncommon line\n{prose(i, 30)}", "s") for i in range(12)], extra=False)
+    docs = docs.selectExpr("*", *[f"'{n}' as {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert {tuple(r[n] for n in names) for r in out.select(names).collect()} == {tuple(names)}, name
