@@ -5,22 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pluvio.llm import line_dedup, mixing, ngram_join, packing, toxicity
-from pluvio.llm.common import on_workers, stored, table
+from pluvio.llm.common import on_workers, set_apart, stored, table
 from pluvio.llm.registry import tokenizer_path
 from pluvio.operators.joins import small_side
 
 
 @on_workers
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the cut. The classifier learns from the labels outside the held-out fold."""
+    """Documents that score below the cut, whatever their other columns. The classifier learns from the labels outside the held-out fold.
+
+    A null or empty text scores as the intercept and stays; rows of a repeated id are scored each; without documents there are no rows.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.learning_rows())
-    return toxicity.scored(docs, model, "_toxic").filter(F.col("_toxic") < toxicity.CUT).drop("_toxic")
+    shielded, own = set_apart(docs, "_toxic")
+    return toxicity.scored(shielded, model, "_toxic").filter(F.col("_toxic") < toxicity.CUT).select(own)
 
 
 @on_workers
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; none is dropped."""
-    kept = line_dedup.drop_lines(docs, site="source", ratio=0.05, min_pages=5).drop("_lines", "_dropped")
+    """Documents without their source's boilerplate lines; none is dropped. A null text stays null, a null source is one of its own."""
+    kept = line_dedup.drop_lines(docs, site="source", ratio=0.05, min_pages=5, counts=False)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
@@ -39,13 +43,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 @on_workers
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources by capped weights; a document taken twice comes twice."""
+    """Sources by capped weights; a document taken twice comes twice. A text without words counts 0 and comes as often as its source does in whole."""
     return mixing.mix(docs, cycle=(3, 1, 2), budget=1.5, max_epochs=2.0)
 
 
 @on_workers
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the mixture in sequences of at most 2,048 tokens."""
+    """Pieces of the mixture in sequences of at most 2,048 tokens; a null or empty text is one end token."""
     return packing.pack(docs, tokenizer_path())
 
 
