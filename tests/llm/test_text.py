@@ -151,6 +151,35 @@ def test_line_dedup_rules(spark):
     assert line_dedup.drop_lines(documents(spark, [])).count() == 0
 
 
+def near_copies(size):
+    """Copies of a text, two thirds with a word changed and the others with too many to be linked, from few words."""
+    rng, base, words = np.random.default_rng(size), prose(77, 140).split(), prose(78, 30).split()
+    rows = []
+    for i in range(size):
+        text = list(base)
+        for at in rng.choice(len(text), 1 if i % 3 else rng.integers(4, 9), replace=False):
+            text[at] = words[rng.integers(len(words))]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_copies_apart_from_their_hub_propose_few_pairs(spark, monkeypatch):
+    proposed = {}
+    whole = ngram_join.outside_pairs
+
+    def counted(*args):
+        pairs = whole(*args)
+        proposed[size] = pairs.count()
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "outside_pairs", counted)
+    size = 240
+    rows = near_copies(size)
+    assert joined(documents(spark, [(i, t, "s") for i, t in rows])) == groups(rows)
+    # Every one apart with every other of the group would be 80 x 239.
+    assert proposed[size] <= 4 * size
+
+
 # --- packing -----------------------------------------------------------------------------------
 
 
