@@ -198,17 +198,17 @@ SINGULAR_CHECKS = {
 }
 
 
-def _result(df: DataFrame, check: str, table: str, column: str, kind: str, severity: str) -> DataFrame:
+def result(df: DataFrame, check: str, table: str, column: str, kind: str, severity: str) -> DataFrame:
     head = {"check": check, "table": table, "column": column, "kind": kind}
     return df.select(*[F.lit(v).alias(k) for k, v in head.items()], "failures", F.lit(severity).alias("severity"))
 
 
-def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+def row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-level checks of a table in one pass: a counter each, then one row per counter."""
-    return _one_row_each(df.agg(*[F.count_if(c.violated()).alias(f"f{i}") for i, c in enumerate(checks)]), checks)
+    return one_row_each(df.agg(*[F.count_if(c.violated()).alias(f"f{i}") for i, c in enumerate(checks)]), checks)
 
 
-def _one_row_each(counters: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def one_row_each(counters: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The counters f0, f1, ... of one row as one row per check."""
     rows = [
         F.struct(
@@ -222,7 +222,7 @@ def _one_row_each(counters: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def _unique_check(df: DataFrame, c: Check) -> DataFrame:
     failures = unique(df, c.column).agg(F.count(F.lit(1)).alias("failures"))
-    return _result(failures, c.name, c.table, c.column, c.kind, c.severity)
+    return result(failures, c.name, c.table, c.column, c.kind, c.severity)
 
 
 def singular_violations(tables: dict[str, DataFrame], now: Column, as_of=None) -> dict[str, DataFrame]:
@@ -238,8 +238,8 @@ def singular_violations(tables: dict[str, DataFrame], now: Column, as_of=None) -
 
 
 def load_summary(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column], raw_checks: Sequence[Check],
-                 staged_checks: Sequence[Check], order: Sequence[str] = ("_extracted_at", "id")) -> DataFrame:
-    """A row per location: failures of the row-level checks on the raw and on the staged rows, newest load, date span.
+                 staged_checks: Sequence[Check], order: Sequence[str] = ("_extracted_at", "id"), by: Sequence[Column] = ()) -> DataFrame:
+    """A row per location (and ``by``, from the keys under a leading ``_``): rows, failures of the row-level checks on the raw and on the staged rows, newest load, date span.
 
     One scan and one exchange of the raw table: its rows are combined by key before the exchange, which counts their
     failures and picks the newest row, so a key of many repeats is no hot spot; ``columns`` stage that row.
@@ -248,16 +248,16 @@ def load_summary(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column],
     newest = F.max_by(F.struct(*[F.col(c) for c in raw.columns]), F.struct(*[F.col(c) for c in order]))
     by_key = raw.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         *[F.count_if(c.violated()).alias(f"_raw{i}") for i, c in enumerate(raw_checks)],
-        F.max("_extracted_at").alias("_newest"), newest.alias("_row"),
+        F.count(F.lit(1)).alias("_n"), F.max("_extracted_at").alias("_newest"), newest.alias("_row"),
     )
-    counted = [f"_raw{i}" for i in range(len(raw_checks))]
+    counted = [*[f"_raw{i}" for i in range(len(raw_checks))], "_n"]
     staged = by_key.select(*counted, "_newest", *[f"_{k}" for k in keys], "_row.*").select(
         *counted, "_newest", *[f"_{k}" for k in keys], *columns
     )
     # Rows without one of the keys are not staged.
     present = reduce(and_, [F.col(f"_{k}").isNotNull() for k in keys])
-    return staged.groupBy(F.col("_location_id").alias("location_id")).agg(
-        *[F.sum(c).alias(c) for c in counted],
+    return staged.groupBy(F.col("_location_id").alias("location_id"), *by).agg(
+        *[F.sum(c).alias(c) for c in counted[:-1]], F.sum("_n").alias("total"),
         *[F.count_if(present & c.violated()).alias(f"_stg{i}") for i, c in enumerate(staged_checks)],
         F.max("_newest").alias("_extracted_at"), F.min(f"_{time}").alias("first"), F.max(f"_{time}").alias("last"),
     )
@@ -265,7 +265,7 @@ def load_summary(raw: DataFrame, keys: Sequence[str], columns: Sequence[Column],
 
 def _summed(summary: DataFrame, checks: Sequence[Check], prefix: str) -> DataFrame:
     totals = summary.agg(*[F.coalesce(F.sum(f"{prefix}{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(checks))])
-    return _one_row_each(totals, checks)
+    return one_row_each(totals, checks)
 
 
 def run_suite(tables: dict[str, DataFrame], store: Callable[[DataFrame, str], DataFrame], now: Column | None = None,
@@ -293,11 +293,11 @@ def run_suite(tables: dict[str, DataFrame], store: Callable[[DataFrame, str], Da
             summary = daily if table.endswith("daily") else hourly
             parts.append(_summed(summary, row_level, "_raw" if table.startswith("raw") else "_stg"))
         elif row_level:
-            parts.append(_row_checks(frames[table], row_level))
+            parts.append(row_checks(frames[table], row_level))
         parts += [_unique_check(frames[table], c) for c in checks if c.table == table and c.kind == "unique"]
     for name, rows in singular_violations(frames | {"raw_daily": daily}, now, as_of).items():
         failures = rows.agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(_result(failures, name, SINGULAR_CHECKS[name], "", "singular", "error"))
+        parts.append(result(failures, name, SINGULAR_CHECKS[name], "", "singular", "error"))
     results = reduce(DataFrame.unionByName, parts)
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 

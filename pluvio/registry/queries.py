@@ -15,6 +15,7 @@ from pluvio.operators.staging import dedup_latest, require, stg_daily, stg_hourl
 from pluvio.plans import models
 from pluvio.plans.layers import Marts, build_marts, open_marts, register_layers
 from pluvio.plans.refresh import refresh_daily, refresh_from
+from pluvio.plans.suite import run_suite_by_folder
 from pluvio.session import configure, stored_state, work_dir
 from pluvio.sources import driver_tables, payloads, scans, sinks
 from pluvio.sources.versions import VersionedTable
@@ -304,8 +305,7 @@ def _propagated(i: Inputs) -> Marts:
     """Marts that follow the loads of stored raw tables: late days in the middle, other values there and days that are none at first."""
 
     def follow(root: str) -> None:
-        stored = {"date": _table(i, "raw_daily", schemas.RAW_DAILY, "date"), "timestamp": _table(i, "raw_hourly", schemas.RAW_HOURLY, "timestamp")}
-        raw = {"date": i.raw_daily, "timestamp": i.raw_hourly}
+        stored, raw = _followed(i, root), {"date": i.raw_daily, "timestamp": i.raw_hourly}
         days = {c: F.col(c).cast("date") for c in raw}
         late = {c: day.between(*(F.lit(d).cast("date") for d in LATE[c])) for c, day in days.items()}
         wrong = {
@@ -320,6 +320,7 @@ def _propagated(i: Inputs) -> Marts:
             first = raw[c].filter(~late[c] & (days[c] < F.lit(TAIL[c]).cast("date")))
             table.reload(first.unionByName(wrong[c]).unionByName(too_new[c]), "1900-01-01", unbounded=True)
         build_marts(i.spark, stored["date"].rows(), stored["timestamp"].rows(), i.locations, root)
+        _suite_by_folder(i, root)
         for c, table in stored.items():
             table.reload(raw[c].filter(late[c]), *LATE[c])
             refresh_from(table, i.locations, root)
@@ -329,6 +330,25 @@ def _propagated(i: Inputs) -> Marts:
     return open_marts(i.spark, i._once("propagated", follow))
 
 
+def _followed(i: Inputs, root: str) -> dict[str, VersionedTable]:
+    """The raw tables that the marts under ``root`` follow."""
+    return {
+        "date": _ledger_table(i, root, "raw_daily", schemas.RAW_DAILY, "date"),
+        "timestamp": _ledger_table(i, root, "raw_hourly", schemas.RAW_HOURLY, "timestamp"),
+    }
+
+
+def _suite_by_folder(i: Inputs, root: str) -> DataFrame:
+    stored = _followed(i, root)
+    return run_suite_by_folder(stored["date"], stored["timestamp"], root, i.locations, f"{root}/checks", as_of=open_marts(i.spark, root).as_of)
+
+
+def _checked_again(i: Inputs) -> DataFrame:
+    """The suite after the loads: folders that these left alone keep the results of the suite before them."""
+    _propagated(i)
+    return _suite_by_folder(i, _written[i.spark.sparkContext.applicationId, i.sf_dir, i.state, "propagated"])
+
+
 def _register_layers(i: Inputs) -> DataFrame:
     root = work_dir(i.spark, "layers")
     layers = register_layers(i.spark, i.raw_daily, i.raw_hourly, i.locations, root, root.split("/")[-1].replace("-", "_"),
@@ -588,6 +608,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_recent_load_ingest": lambda i: dq.recent_load(
         {"daily": i.raw_daily, "hourly": i.raw_hourly}, i.now_all, hours=7, mode="all"),
     "dq_suite": lambda i: dq.run_suite(i.suite_tables, i.store, as_of=i.as_of),
+    "dq_suite_by_folder": _checked_again,
     "dq_store_failures": _store_failures,
     # streaming
     "stream_ingest_upsert": _stream,

@@ -121,3 +121,9 @@ LATEST_READINGS = _struct(
     ("location_id", _S), ("city_name", _S), ("mesoregion", _S), ("latitude", _D), ("longitude", _D), ("date", _DATE),
     ("temp_max_c", _D), ("precipitation_mm", _D),
 )
+
+# What a folder of a checked table (and one of its locations, where that is needed) came to: failures by check (checks without any are left out).
+FOLDER_SUMMARY = _struct(
+    ("folder", _S), ("version", _S), ("location_id", _S), ("total", _L), ("misplaced", _L), ("repeated", _L), ("first", _DATE), ("last", _DATE),
+    ("_extracted_at", _TS), ("failures", T.MapType(_S, _L)),
+)

@@ -80,7 +80,7 @@ def test_stored_failures_hold_the_rows(spark, tmp_path):
 def test_row_checks_share_one_scan(spark, plan):
     df = frame(spark, [1.0])
     checks = [dq.Check("t", "v", "not_null"), dq.Check("t", "v", "accepted_range", lo=0, hi=5)]
-    assert plan(dq._row_checks(df, checks)).count("Scan ") == 1
+    assert plan(dq.row_checks(df, checks)).count("Scan ") == 1
 
 
 def counts(spark, **per_location):
