@@ -27,3 +27,6 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 # Stored bytes a shuffle partition should stand for.
 SHUFFLE_PARTITION_BYTES = 64 * 1024 * 1024
+
+# Rows of a mart's file, at most.
+ROWS_PER_FILE = 1_000_000

@@ -59,17 +59,29 @@ def write_latest(spark: SparkSession, loc: DataFrame, root: str, horizon: dt.dat
     latest.agg(F.max("date").alias("date"), F.lit(horizon).cast("date").alias("horizon")).write.mode("overwrite").parquet(f"{root}/newest")
 
 
+def counted_places(raw: DataFrame, partition: str, value: Column, at_most: int, path: str) -> DataFrame:
+    """At most how many readings each folder of a mart will have of a location, from two columns of the raw table; stored under ``path``.
+
+    A folder has a reading a day (an hour) of a location, however often the raw table repeats it.
+    """
+    counts = raw.groupBy(value.alias(partition), "location_id").agg(F.least(F.count(F.lit(1)), F.lit(at_most)).alias("rows")).dropna()
+    counts.write.mode("overwrite").parquet(path)
+    return raw.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def build_marts(spark: SparkSession, raw_daily: DataFrame, raw_hourly: DataFrame, loc: DataFrame, root: str,
                 thresholds: Thresholds = Thresholds()) -> Marts:
     """Full rebuild of the marts under ``root``. The alerts read the stored facts, not the whole chain again."""
-    write_daily_facts(daily_facts(int_daily(stg_daily(raw_daily), loc)), f"{root}/daily_facts")
+    months = counted_places(raw_daily, "year_month", year_month(F.col("date")), 31, f"{root}/placing/daily")
+    write_daily_facts(daily_facts(int_daily(stg_daily(raw_daily), loc)), f"{root}/daily_facts", months)
     stored = read_mart(spark, f"{root}/daily_facts", schemas.DAILY_FACTS)
     write_daily_facts(climate_alerts(stored, thresholds), f"{root}/alerts")
     horizon = spark.range(1).select(horizon_of(latest_date(stored))).first()[0]
     states = window_states(stored.select("location_id", *CARRIED), F.lit(horizon).cast("date"))
     write_clustered(states, f"{root}/window_state", "before", ["location_id"])
     write_latest(spark, loc, root, horizon)
-    write_hourly_facts(hourly_facts(stg_hourly(raw_hourly), loc), f"{root}/hourly_facts")
+    days = counted_places(raw_hourly, "date", F.to_date("timestamp"), 24, f"{root}/placing/hourly")
+    write_hourly_facts(hourly_facts(stg_hourly(raw_hourly), loc), f"{root}/hourly_facts", days)
     write_coverage(read_mart(spark, f"{root}/hourly_facts", schemas.HOURLY_FACTS), f"{root}/hourly_coverage")
     return open_marts(spark, root)
 

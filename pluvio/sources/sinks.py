@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from pluvio.config import BROADCAST_LIMIT_BYTES, ROWS_PER_FILE
+from pluvio.operators.joins import measured_bytes
 from pluvio.operators.staging import dedup_latest
 
 
@@ -112,16 +116,46 @@ def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFram
     return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
 
 
-def write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
-    """One folder per partition value."""
-    clustered(df, partition, cluster).write.mode("overwrite").partitionBy(partition).parquet(path)
-
+def placed(df: DataFrame, partition: str, cluster: Sequence[str], counts: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows in as many tasks as their number asks for, each with a range of (folder, ``cluster[0]``): the files of a hot folder have ranges apart.
 
-def write_daily_facts(df: DataFrame, path: str) -> None:
+    ``counts`` has the ``rows`` of each partition value and location (``cluster[0]``); it may overstate them, as it only
+    sets the bounds. It is small and read thrice, so it should be stored. A location lies at its share of all rows that come before it in order, in
+    each folder alike. Unlike a range split by Spark this does not sample ``df``, so what computes it runs once. A location of a folder
+    stays in one task. Where the locations measure more than a broadcast may, rows are clustered by folder alone.
+    """
+    by, spark = cluster[0], df.sparkSession
+    folders = counts.groupBy(partition).agg(F.sum("rows").alias("_in_folder"))
+    places = counts.groupBy(by).agg(F.sum("rows").alias("_in_place"))
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    if not total or measured_bytes(places) > BROADCAST_LIMIT_BYTES:
+        return clustered(df, partition, cluster)
+    # Small tables use all tasks that a shuffle has.
+    size = min(rows_per_file, math.ceil(total / int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = math.ceil(total / size)
+    # One row a folder, bounded by the calendar, and one a location, of the measured size: these windows have one task.
+    before = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)
+    starts = folders.select(F.col(partition).alias("_folder"), "_in_folder",
+                            F.coalesce(F.sum("_in_folder").over(before.orderBy(partition)), F.lit(0)).alias("_start"))
+    shares = places.select(F.col(by).alias("_place"), (F.coalesce(F.sum("_in_place").over(before.orderBy(by)), F.lit(0)) / total).alias("_share"))
+    found = df.join(F.broadcast(starts), F.col(partition).eqNullSafe(F.col("_folder")), "left").join(
+        F.broadcast(shares), F.col(by).eqNullSafe(F.col("_place")), "left")
+    at = F.coalesce((F.col("_start") + F.col("_share") * F.col("_in_folder")) / size, F.lit(0))
+    sent = found.withColumn("_task", F.least(F.floor(at), F.lit(tasks - 1)).cast("int")).repartitionById(tasks, F.col("_task"))
+    return sent.select(df.columns).sortWithinPartitions(partition, *cluster)
+
+
+def write_clustered(df: DataFrame, path: str, partition: str, cluster: Sequence[str], counts: DataFrame | None = None) -> None:
+    """One folder per partition value; with ``counts`` the locations of a folder's files are ranges apart (see ``placed``)."""
+    rows = clustered(df, partition, cluster) if counts is None else placed(df, partition, cluster, counts)
+    rows.write.mode("overwrite").partitionBy(partition).parquet(path)
+
+
+def write_daily_facts(df: DataFrame, path: str, counts: DataFrame | None = None) -> None:
     """Facts or alerts: a folder per month, clustered by location."""
-    write_clustered(df, path, "year_month", ["location_id", "date"])
+    write_clustered(df, path, "year_month", ["location_id", "date"], counts)
 
 
-def write_hourly_facts(df: DataFrame, path: str) -> None:
+def write_hourly_facts(df: DataFrame, path: str, counts: DataFrame | None = None) -> None:
     """A folder per day, clustered by location and mesoregion."""
-    write_clustered(df, path, "date", ["location_id", "mesoregion", "observed_at"])
+    write_clustered(df, path, "date", ["location_id", "mesoregion", "observed_at"], counts)

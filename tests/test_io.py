@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from pluvio import schemas
 from pluvio.operators import audit, filters as fl, joins, reports as rp
 from pluvio.operators.staging import dedup_latest
-from pluvio.plans.layers import build_marts, register_layers
+from pluvio.plans.layers import build_marts, counted_places, register_layers
 from pluvio.session import work_dir
 from pluvio.sources import payloads, scans, sinks
 from pluvio.sources.versions import VersionedTable
@@ -299,6 +300,63 @@ def test_a_hot_month_is_split_over_files(spark):
     assert len(spark.read.parquet(path).inputFiles()) >= 4  # a piece per map task at most
 
 
+def spoil_pages(file):
+    """Overwrite all data pages; the footer with its bounds stays."""
+    data = bytearray(open(file, "rb").read())
+    footer = int.from_bytes(data[-8:-4], "little") + 8
+    data[4:-footer] = b"\xff" * (len(data) - footer - 4)
+    open(file, "wb").write(data)
+    folder, _, name = file.rpartition("/")
+    os.remove(f"{folder}/.{name}.crc")  # else the file system finds the change
+
+
+def test_files_of_a_hot_month_hold_ranges_of_locations_apart(spark, rows):
+    """Two thirds of all rows in one month, and a third of the raw rows repeats of one location."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for frame in batches:
+            seen.add(len(frame))
+            yield frame
+
+    months = F.when(F.col("id") % 3 > 0, F.lit("2024-01")).otherwise(F.concat(F.lit("2023-"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0")))
+    facts = spark.range(9_000).select(F.format_string("l%04d", F.col("id") % 1_000).alias("location_id"), F.col("id").alias("n"),
+                                      F.lit(DAY).alias("date"), months.alias("year_month"))
+    read_once = facts.mapInPandas(counted, facts.schema)
+    raw = facts.unionByName(facts.filter("location_id = 'l0007'").crossJoin(spark.range(300)).select(facts.columns))
+    counts = counted_places(raw, "year_month", F.col("year_month"), 31, work_dir(spark, "counts"))
+    assert counts.agg(F.sum("rows")).first()[0] < 9_100
+    path = work_dir(spark, "hot")
+    sinks.placed(read_once, "year_month", KEYS, counts, rows_per_file=1_000).write.partitionBy("year_month").parquet(path)
+    assert seen.value == 9_000
+    table = spark.read.schema(facts.schema).parquet(path)
+    assert rows(table) == rows(facts)
+    for month in ("2024-01", "2023-01"):
+        files = table.filter(F.col("year_month") == month).groupBy(F.input_file_name().alias("file")).agg(
+            F.min("location_id").alias("low"), F.max("location_id").alias("high"), F.count(F.lit(1)).alias("n"))
+        found = files.orderBy("low").collect()
+        assert all(one.high < other.low for one, other in zip(found, found[1:]))
+        assert max(f.n for f in found) < 1_400
+        if month == "2024-01":
+            assert 5 <= len(found) <= 9
+            # Whoever looks for one location reads the pages of its file only.
+            for f in found:
+                if not f.low <= "l0500" <= f.high:
+                    spoil_pages(f.file.removeprefix("file://"))
+            assert table.filter("year_month = '2024-01' and location_id = 'l0500'").count() == 6
+            with pytest.raises(Exception, match="PARQUET|FAILED_READ|parquet"):
+                table.filter("year_month = '2024-01'").select("n", "location_id").collect()
+
+
+def test_placing_without_rows_or_beyond_a_broadcast(spark, rows, monkeypatch):
+    facts = spark.createDataFrame([("a", DAY, "2024-01"), (None, DAY, "2024-01"), ("b", DAY, None)], "location_id string, date date, year_month string")
+    counts = spark.createDataFrame([("2024-01", "a", 1)], "year_month string, location_id string, rows long")
+    assert rows(sinks.placed(facts, "year_month", KEYS, counts)) == rows(facts)
+    assert rows(sinks.placed(facts, "year_month", KEYS, counts.limit(0))) == rows(facts)
+    monkeypatch.setattr(sinks, "BROADCAST_LIMIT_BYTES", 0)
+    assert rows(sinks.placed(facts, "year_month", KEYS, counts)) == rows(facts)
+
+
 CITY_QUERIES = {
     "hourly_temp_humidity": lambda m: fl.hourly_series(m.hourly, "City a", ["temperature_c"], 7, m.coverage),
     "hourly_wind_rain": lambda m: fl.hourly_series(m.hourly, "City a", ["wind_speed_kmh"], 7, m.coverage),
