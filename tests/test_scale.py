@@ -1,13 +1,19 @@
 """What a query builds, broadcasts and stores grows no faster than it must."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
+from pluvio import schemas
 from pluvio.operators import joins
 from pluvio.plans import refresh
+from pluvio.plans.layers import build_marts
+from pluvio.registry.queries import Inputs
 from pluvio.session import work_dir
 from tests.conftest import plan_of
-from tests.test_refresh import LOADS, equal_to_rebuilt, world  # noqa: F401
+from tests.test_io import daily, hourly, locations
+from tests.test_refresh import LOADS, day, equal_to_rebuilt, reading, world  # noqa: F401
 
 
 def test_a_side_beyond_the_limit_is_not_broadcast_for_its_small_file(spark):
@@ -25,3 +31,21 @@ def test_refresh_where_the_reached_months_are_too_many_to_broadcast(spark, rows,
     LOADS[name](spark, raw)
     refresh.refresh_from(raw, loc, root)
     equal_to_rebuilt(spark, rows, raw, hours, loc, root)
+
+
+def test_window_states_hold_each_reading_once(spark, rows):
+    # One reading a month: all stay among the last 29 for the whole time.
+    raw, root = daily(spark, *[reading("a", 31 * n) for n in range(12)]), work_dir(spark, "marts")
+    build_marts(spark, raw, hourly(spark, {}), locations(spark, "a"), root)
+    states = spark.read.schema(schemas.WINDOW_STATE).parquet(f"{root}/window_state")
+    assert [r[0] for r in rows(states.select(F.explode("readings.date").alias("date")))] == [day(31 * n) for n in range(12)]
+    assert states.agg(F.max("n")).first()[0] == 12
+
+
+def test_reports_on_the_hours_write_no_daily_facts(spark):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    inputs._once = lambda name, write, done={}: done[name] if name in done else (done.setdefault(name, work_dir(spark, name)), write(done[name]))[0]
+    assert inputs.marts.coverage.count() and inputs.marts.hourly.count()
+    root = inputs.marts._root.split(":")[-1]
+    assert glob.glob(f"{root}/hourly_facts/*") and not glob.glob(f"{root}/daily_facts*") and not glob.glob(f"{root}/window_state*")
+    assert inputs.marts.latest.count() and glob.glob(f"{root}/window_state/*") and not glob.glob(f"{root}/alerts*")
