@@ -49,3 +49,34 @@ def test_reports_on_the_hours_write_no_daily_facts(spark):
     root = inputs.marts._root.split(":")[-1]
     assert glob.glob(f"{root}/hourly_facts/*") and not glob.glob(f"{root}/daily_facts*") and not glob.glob(f"{root}/window_state*")
     assert inputs.marts.latest.count() and glob.glob(f"{root}/window_state/*") and not glob.glob(f"{root}/alerts*")
+
+
+@pytest.mark.parametrize("limit", [0, 1024 * 1024])
+def test_changes_without_a_location_reach_nothing(spark, rows, world, monkeypatch, limit):  # noqa: F811
+    raw, hours, loc, root = world
+    monkeypatch.setattr(refresh, "REACHED_LIMIT_BYTES", limit)
+    changed = spark.createDataFrame([(None, day(3)), ("a", None)], "location_id string, date date")
+    refresh.propagate_daily(spark, changed, raw, loc, root)
+    equal_to_rebuilt(spark, rows, raw, hours, loc, root)
+
+
+def test_rows_that_no_run_reaches_are_kept_without_a_shuffle(spark, rows):
+    path = work_dir(spark, "kept")
+    months = F.to_date(F.concat_ws("-", F.lit("2000"), F.col("id") % 12 + 1, F.lit("01")))
+    spark.range(24).select(F.concat(F.lit("l"), F.col("id") % 2).alias("location_id"), months.alias("date"), "id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    runs = spark.sql("VALUES ('l0', DATE'2000-01-01', DATE'2000-11-01'), ('l1', DATE'2000-02-01', DATE'2000-10-01')").toDF("location_id", "start", "end")
+    held = {r.location_id: r for r in runs.collect()}
+    for later in (False, True):
+        first = F.add_months("start", 1) if later else F.col("start")
+        found = [refresh._unreached(stored, runs, few, F.trunc("date", "month"), first) for few in (True, False)]
+        assert all("Exchange hashpartitioning" not in plan_of(df) for df in found)
+        begin = {of: refresh._next_month(run.start) if later else run.start for of, run in held.items()}
+        kept = sorted(r.id for r in stored.collect() if not begin[r.location_id] <= r.date <= held[r.location_id].end)
+        assert kept and all(sorted(r.id for r in df.collect()) == kept for df in found)
+
+
+def test_stored_tables_are_compressed_with_zstd(spark, world):  # noqa: F811
+    root = world[3].split(":")[-1]
+    files = glob.glob(f"{root}/daily_facts/*/*.parquet")
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
