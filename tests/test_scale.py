@@ -9,6 +9,7 @@ from pluvio import schemas
 from pluvio.operators import joins
 from pluvio.plans import refresh
 from pluvio.plans.layers import build_marts
+from pluvio.plans.state import readings_before
 from pluvio.registry.queries import Inputs
 from pluvio.session import work_dir
 from tests.conftest import plan_of
@@ -80,3 +81,17 @@ def test_stored_tables_are_compressed_with_zstd(spark, world):  # noqa: F811
     root = world[3].split(":")[-1]
     files = glob.glob(f"{root}/daily_facts/*/*.parquet")
     assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
+def test_what_a_refresh_reaches_is_not_broadcast_for_its_small_file(spark, rows, world):  # noqa: F811
+    raw, _, _, root = world
+    changed = refresh._stored(raw.rows().filter(F.col("date") >= F.lit(day(60))).select("location_id", "date"), "changed")
+    states = spark.read.schema(schemas.WINDOW_STATE).parquet(f"{root}/window_state")
+    horizon = day(152)
+    runs = refresh.reached_runs(changed, states, horizon)
+    assert "BroadcastHashJoin" not in plan_of(runs)
+    # From the first change on, through months without one, up to the last that a mean looks back on.
+    assert rows(runs) == [(s, first, horizon) for s, first in (("a", day(60)), ("b", day(60)), ("x", day(91)))]
+    starts = runs.hint("merge").select("location_id", F.date_format("start", "yyyy-MM").alias("before"), "start")
+    earlier = readings_before(states, starts)
+    assert "BroadcastHashJoin" not in plan_of(earlier) and earlier.count() == 29 + 29
