@@ -2,7 +2,7 @@
 
 Documents by shingles is a sparse 0/1 matrix, and the overlaps of all pairs are its product with its own
 transpose. That product is not computed and no overlap is accumulated over columns: candidates by prefix bounds that
-follow from the set sizes take its place. Blocks of columns (ranges of shingle hashes) only count in how many sets a column occurs:
+follow from the set sizes take its place. Blocks of columns (by shingle hash, mixed) only count in how many sets a column occurs:
 
 1. A pair above the threshold shares at least k + 1 of each side's first q + k shingles by hash, where
    q = n - ceil(t n) + 1. Only these columns are counted first; a document with k or fewer columns that occur elsewhere reaches no partner and is done.
@@ -105,19 +105,20 @@ def sets(docs: DataFrame, whole: bool, threshold: int = THRESHOLD) -> DataFrame:
     return read.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def frequencies(table: DataFrame, width: int, total: int) -> DataFrame:
-    """Per batch, its columns that occur in two sets or more of ``table``, ascending, and in how many.
+def in_blocks(table: DataFrame, width: int, blocks: int) -> DataFrame:
+    """(block, batch, columns, more, counts): the columns of each batch, once each, ascending; those at ``more`` stand in several of its sets.
 
-    A batch sends each of its columns to the column's block once, with its count there.
+    A column's block follows from its mixed hash. Its hash itself would not do: the first columns are the smallest of their sets, so ranges of hashes fill unevenly.
     """
-    blocks = max(1, math.ceil(total / BLOCK_COLUMNS))
-    shift = np.uint64(8 * width - 32)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for batch, part in frame.groupby("batch", sort=False):
                 values, counts = np.unique(unpack(b"".join(part["columns"]), width), return_counts=True)
-                cuts = np.searchsorted((values >> shift) * np.uint64(blocks) >> np.uint64(32), np.arange(blocks + 1))
+                of = ((mix(values) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(of, kind="stable")
+                values, counts = values[order], counts[order]
+                cuts = np.searchsorted(of[order], np.arange(blocks + 1))
                 out = []
                 for block in range(blocks):
                     v, c = values[cuts[block] : cuts[block + 1]], counts[cuts[block] : cuts[block + 1]]
@@ -126,6 +127,18 @@ def frequencies(table: DataFrame, width: int, total: int) -> DataFrame:
                         out.append((block, batch, pack(v, width), more.astype("<u4").tobytes(), c[more].astype("<u4").tobytes()))
                 yield pd.DataFrame(out, columns=["block", "batch", "columns", "more", "counts"])
 
+    return table.select("batch", "columns").filter("length(columns) > 0").mapInPandas(
+        send, "block int, batch long, columns binary, more binary, counts binary"
+    )
+
+
+def frequencies(table: DataFrame, width: int, total: int) -> DataFrame:
+    """Per batch, its columns that occur in two sets or more of ``table``, and in how many.
+
+    A batch sends each of its columns to the column's block once, with its count there.
+    """
+    blocks = max(1, math.ceil(total / BLOCK_COLUMNS))
+
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(c, width) for c in frame["columns"]]
         counts = []
@@ -143,10 +156,7 @@ def frequencies(table: DataFrame, width: int, total: int) -> DataFrame:
                 out.append((batch, pack(own[mine > 1], width), mine[mine > 1].astype("<u8").tobytes()))
         return pd.DataFrame(out, columns=["batch", "columns", "counts"])
 
-    sent = table.select("batch", "columns").filter("length(columns) > 0").mapInPandas(
-        send, "block int, batch long, columns binary, more binary, counts binary"
-    )
-    return sent.groupBy("block").applyInPandas(count, "batch long, columns binary, counts binary")
+    return in_blocks(table, width, blocks).groupBy("block").applyInPandas(count, "batch long, columns binary, counts binary")
 
 
 def _with_frequencies(table: DataFrame, width: int, total: int, decide: Callable, schema: str) -> DataFrame:

@@ -353,3 +353,11 @@ def test_features_of_odd_texts():
     assert np.isfinite(rows).all() and rows.shape == (9, len(quality.NAMES)) and (rows[:3] == 0).all()
     named = dict(zip(quality.NAMES, rows[5]))
     assert named["repeated_words"] == pytest.approx(69 / 70) and named["worst_distinct"] == pytest.approx(1 / 32)
+
+
+def test_blocks_of_first_columns_fill_evenly(spark):
+    # The first columns are the smallest hashes of their sets: ranges of hashes would leave most blocks empty.
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(200)], "doc_id long, text string")
+    first = ngram_join.sets(docs, whole=False)
+    sizes = [r.n for r in ngram_join.in_blocks(first, 6, 6).groupBy("block").agg(F.sum(F.length("columns") / 6).alias("n")).collect()]
+    assert len(sizes) == 6 and sum(sizes) > 3000 and max(sizes) < 1.3 * sum(sizes) / 6
