@@ -33,3 +33,6 @@ SHUFFLE_PARTITION_BYTES = 64 * 1024 * 1024
 
 # Rows of a mart's file, at most.
 ROWS_PER_FILE = 1_000_000
+
+# Rows of one location in a folder of a batch, from which on repeats of a key are left out before the shuffle.
+HOT_ROWS = 100_000

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from pluvio.config import BROADCAST_LIMIT_BYTES, ROWS_PER_FILE
@@ -31,14 +33,19 @@ def truncate_reload(df: DataFrame, path: str, schema: StructType, truncate: bool
 
 def upsert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], keep: Sequence[str],
-    order: Sequence[str] = ("_extracted_at", "id"),
+    order: Sequence[str] = ("_extracted_at", "id"), by: Sequence[Column] = (),
 ) -> DataFrame:
     """Insert or update by key.
 
     Of several batch rows with one key the last by ``order`` counts. An update replaces every
     column except those of ``keep``, which hold the target's values even when these are null.
     Both sides are unique by key at the join, so no key can be hot there.
+
+    With ``by``, which must follow from the keys, both sides go by one exchange and the result lies together by it; repeats of a key
+    in the batch are shuffled then.
     """
+    if by:
+        return _upsert_in_place(target, batch, keys, keep, order, by)
     last = dedup_latest(batch, keys, order)
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     b = last.withColumn("_in_batch", F.lit(True)).alias("b")
@@ -54,6 +61,25 @@ def upsert(
     return joined.select([merged(name) for name in target.columns])
 
 
+def _upsert_in_place(target: DataFrame, batch: DataFrame, keys: Sequence[str], keep: Sequence[str], order: Sequence[str], by: Sequence[Column]) -> DataFrame:
+    """``upsert`` by a window over the rows of both sides in place of a join."""
+    places = {f"_by{k}": c for k, c in enumerate(by)}
+    both = target.withColumn("_new", F.lit(False)).unionByName(batch.select(target.columns).withColumn("_new", F.lit(True)))
+    both = both.withColumns(places).repartition(*places)
+    # As in a join, a null is no other null's equal: such rows of the batch are apart from the target's.
+    apart = F.col("_new") & reduce(or_, [F.col(k).isNull() for k in keys])
+    # Of a key the batch's last row comes first, the target's rows last.
+    group = Window.partitionBy(*places, *keys, apart).orderBy(F.desc("_new"), *[F.desc_nulls_last(c) for c in order])
+    entire = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    updated = [c for c in target.columns if c not in keys and c not in keep]
+    seen = both.withColumns({
+        "_rank": F.row_number().over(group), "_in_batch": F.first("_new").over(group), "_in_target": ~F.last("_new").over(entire),
+        **{f"_last{k}": F.first(c).over(group) for k, c in enumerate(updated)},
+    }).filter(~F.col("_new") | (~F.col("_in_target") & (F.col("_rank") == 1)))
+    last = {c: F.when(F.col("_in_batch"), F.col(f"_last{k}")).otherwise(F.col(c)) for k, c in enumerate(updated)}
+    return seen.select([last[c].alias(c) if c in last else F.col(c) for c in target.columns])
+
+
 def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                  order: Sequence[str] = ("_extracted_at", "id")) -> DataFrame:
     """Target and batch together, newest row per key. Merging a batch again changes nothing."""

@@ -16,6 +16,7 @@ of load; counts and freshness come from it without a look at the rows.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
@@ -25,6 +26,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from pluvio.config import HOT_ROWS, ROWS_PER_FILE
 from pluvio.operators.filters import as_date
 from pluvio.operators.staging import dedup_latest
 from pluvio.sources import sinks
@@ -126,14 +128,16 @@ class VersionedTable:
         load = {r["key"]: r["value"] for r in rows}.get(key)
         return f"{self.name}__v{load}" if load else None
 
-    def publish(self, rows: DataFrame, drop: Collection[str] = (), replace: bool = True) -> DataFrame:
+    def publish(self, rows: DataFrame, drop: Collection[str] = (), replace: bool = True, lying: bool = False) -> DataFrame:
         """Replace the partitions that ``rows`` (with their partition column) hold, or add to them, and drop those named; return the table.
 
-        ``rows`` may read the table. Only the last statement changes what readers see.
+        ``rows`` may read the table. Only the last statement changes what readers see. Rows ``lying`` together by partition already
+        are written without an exchange.
         """
         load = uuid.uuid4().hex
         placed = sinks.as_declared(rows, self.stored_schema)
-        sinks.clustered(placed, self.partition, self.cluster).write.partitionBy(self.partition).parquet(f"{self.root}/load={load}")
+        sorted_rows = placed.sortWithinPartitions(self.partition, *self.cluster) if lying else sinks.clustered(placed, self.partition, self.cluster)
+        sorted_rows.write.partitionBy(self.partition).parquet(f"{self.root}/load={load}")
         written = {name.split("=")[1] for name in _children(self.spark, f"{self.root}/load={load}", f"{self.partition}=")}
         self._enter(load)
         current = self._property(_VERSION) if self.exists() else None
@@ -211,18 +215,30 @@ class VersionedTable:
         files.delete(path, True)
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], keep: Sequence[str], order: Sequence[str] = ("_extracted_at", "id")) -> DataFrame:
-        """Insert or update by key, rewriting only the folders of the batch's days (see ``sinks.upsert``)."""
+        """Insert or update by key, rewriting only the folders of the batch's days (see ``sinks.upsert``).
+
+        Old and new rows are shuffled once, to where they are merged and written.
+        """
         if self.day_of not in keys:
             raise ValueError(f"{self.day_of} must be one of the keys")
         fresh, touched, folder = self._staged(batch, keys)
         if not touched:
             self._unstage(folder)
             return self.rows()
-        if not set(map(str, touched)) & self.partitions():
-            merged = dedup_latest(fresh, keys, order)
-        else:
-            merged = sinks.upsert(self.stored().filter(F.col(self.partition).isin(touched)), fresh, keys, keep, order)
-        table = self.publish(merged)
+        place = [k for k in keys if k != self.day_of] or [self.day_of]
+        by_place = fresh.groupBy(self.partition, *place).agg(F.count(F.lit(1)).alias("rows"))
+        # A row a folder: days and months are bounded by the calendar.
+        counted = {r[0]: r for r in by_place.groupBy(self.partition).agg(F.sum("rows").alias("rows"), F.max("rows").alias("most")).collect()}
+        held = {r[0]: r["rows"] for r in self.ledger().groupBy(self.partition).agg(F.sum("rows").alias("rows")).collect()}
+        if max(r["most"] for r in counted.values()) > HOT_ROWS:
+            # Of a key repeated that often each task sends one row.
+            fresh = dedup_latest(fresh, keys, order)
+        parts = {folder: math.ceil((r["rows"] + held.get(folder, 0)) / ROWS_PER_FILE) for folder, r in counted.items()}
+        many = [F.lit(x) for folder, n in sorted(parts.items()) if n > 1 for x in (folder, n)]
+        part = F.pmod(F.xxhash64(*place), F.coalesce(F.try_element_at(F.create_map(*many), F.col(self.partition)), F.lit(1))) if many else F.lit(0)
+        target = self.stored().filter(F.col(self.partition).isin(touched))
+        merged = sinks.upsert(target, fresh, keys, keep, order, by=[F.col(self.partition), part])
+        table = self.publish(merged, lying=True)
         self._unstage(folder)
         return table
 

@@ -455,3 +455,36 @@ def test_interrupted_stream_batch_is_finished_from_staging(spark, rows, monkeypa
     monkeypatch.setattr(ingest, "merge_latest", lambda *a: merges.append(a))
     table = stream_ingest(spark, inbox, target, checkpoint, schemas.RAW_HOURLY)
     assert rows(table, "id") == [(1,), (2,)] and not merges
+
+
+@pytest.mark.parametrize("hot_rows", [100_000, 2])
+@pytest.mark.parametrize("rows_per_file", [1_000_000, 3])
+def test_a_stored_upsert_equals_the_join(spark, rows, monkeypatch, hot_rows, rows_per_file):
+    monkeypatch.setattr("pluvio.sources.versions.HOT_ROWS", hot_rows)
+    monkeypatch.setattr("pluvio.sources.versions.ROWS_PER_FILE", rows_per_file)
+    table = versioned(spark, unit="month")
+    old = [{"id": k, "location_id": "abcd"[k % 4], "date": DAY + dt.timedelta(days=k % 40), "latitude": None if k % 3 else 1.0} for k in range(60)]
+    old += [{"id": 60, "location_id": None}, {"id": 61}, {"id": 62, "_extracted_at": None}]  # a null key and repeated ones
+    new = [{"id": 100 + k, "location_id": "bcde"[k % 4], "date": DAY + dt.timedelta(days=k % 50), "latitude": 2.0, "rain_sum": float(k),
+            "_extracted_at": None if k % 7 == 0 else later(hours=k % 5)} for k in range(90)]
+    table.append(daily(spark, *old))
+    want = rows(sinks.upsert(table.rows(), daily(spark, *new), KEYS, KEEP))
+    assert rows(table.upsert(daily(spark, *new), KEYS, KEEP)) == want and len(want) > 63
+
+
+def test_an_upsert_in_place_keeps_null_keys_apart(spark, rows):
+    target = daily(spark, {"id": 1, "location_id": None}, {"id": 2}, {"id": 3})
+    batch = daily(spark, {"id": 4, "location_id": None, "rain_sum": 1.0}, {"id": 5, "rain_sum": 2.0}, {"id": 6, "date": None}, {"id": 7, "date": None})
+    got = sinks.upsert(target, batch, KEYS, KEEP, by=[F.trunc("date", "month")])
+    assert rows(got, "id", "rain_sum") == rows(sinks.upsert(target, batch, KEYS, KEEP), "id", "rain_sum")
+
+
+def test_a_stored_upsert_shuffles_its_rows_once(spark, monkeypatch):
+    seen, publish = [], VersionedTable.publish
+    monkeypatch.setattr(VersionedTable, "publish", lambda table, merged, **kw: (seen.append((merged, kw)), publish(table, merged, **kw))[1])
+    table = versioned(spark, unit="month")
+    for _ in range(2):
+        table.upsert(daily(spark, {"id": 1}, {"id": 2, "date": DAY + dt.timedelta(days=40)}), KEYS, KEEP)
+        merged, kw = seen.pop()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan and kw["lying"]
